@@ -48,3 +48,30 @@ register("chart_revenue_top5")(charts.chart_revenue_top5)
 register("chart_fill_rate")(charts.chart_fill_rate)
 register("chart_click_fraud_risk")(charts.chart_click_fraud_risk)
 register("inventory_snapshot")(charts.inventory_snapshot)
+
+# ---- data tests -----------------------------------------------------------------------------
+from adtally.plans import anomalies, profiling, quality, timeseries  # noqa: E402
+
+for _name in ("test_unique", "test_not_null", "test_accepted_values", "test_relationships",
+              "test_suspicious_ctr", "data_test_results", "test_expectations", "test_freshness",
+              "test_negative_revenue", "quality_scorecard"):
+    register(_name)(getattr(quality, _name))
+
+# ---- profiling ------------------------------------------------------------------------------
+for _name in ("dup_event_ids", "duplicate_rate", "duplicate_nature", "ctr_by_publisher_domain",
+              "negative_revenue_scale", "null_pattern", "revenue_by_fill_and_type",
+              "negative_revenue_events", "revenue_by_event_type", "time_coverage", "top_domains",
+              "daily_volume", "table_row_counts", "network_fill_rate", "revenue_concentration",
+              "revenue_unit_economics"):
+    register(_name)(getattr(profiling, _name))
+
+# ---- seeded-condition detectors ---------------------------------------------------------------
+for _name in ("country_case_anomalies", "domain_mismatch", "future_events", "orphan_campaign_events",
+              "out_of_flight_delivery", "traffic_bursts", "ad_unit_mismatch", "advertiser_mismatch",
+              "targeting_violations", "inactive_unit_events", "below_floor_events"):
+    register(_name)(getattr(anomalies, _name))
+
+# ---- time series / extensions -----------------------------------------------------------------
+for _name in ("publishers_scd2", "rolling_7d_metrics", "rolling_30d_metrics", "device_performance",
+              "geo_revenue", "valid_vs_total_traffic", "dim_dates", "publisher_cohorts"):
+    register(_name)(getattr(timeseries, _name))

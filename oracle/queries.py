@@ -71,3 +71,291 @@ SELECT entity, count_value FROM (
   UNION ALL SELECT 'campaigns', CAST(count(*) AS DOUBLE) FROM raw_campaigns
   UNION ALL SELECT 'ad_units', CAST(count(*) AS DOUBLE) FROM raw_ad_units) t
 """, "raw_publishers", "raw_campaigns", "raw_ad_units")
+
+# ---- data tests -------------------------------------------------------------------------
+from adtally.plans.quality import COLUMN_TESTS  # noqa: E402  (the declared test list is data)
+from oracle.sql import cnt, money, pct, rnd  # noqa: E402
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def _test_sql(s) -> str:
+    head = f"SELECT '{s.model}' AS model, '{s.column}' AS column_name, '{s.test}' AS test, "
+    if s.test == "unique":
+        body = (f"(SELECT count(*) FROM (SELECT {s.column} FROM {s.model} WHERE {s.column} IS NOT NULL "
+                f"GROUP BY {s.column} HAVING count(*) > 1) x)")
+    elif s.test == "not_null":
+        body = f"(SELECT count(*) FROM {s.model} WHERE {s.column} IS NULL)"
+    elif s.test == "accepted_values":
+        vals = ", ".join(_lit(v) for v in s.values)
+        body = (f"(SELECT count(*) FROM (SELECT {s.column} AS value_field, count(*) AS n FROM {s.model} "
+                f"GROUP BY {s.column}) x WHERE value_field NOT IN ({vals}))")
+    else:
+        body = (f"(SELECT count(*) FROM {s.model} c LEFT JOIN {s.to_model} p ON c.{s.column} = p.{s.to_field} "
+                f"WHERE c.{s.column} IS NOT NULL AND p.{s.to_field} IS NULL)")
+    return f"SELECT model, column_name, test, failures, failures = 0 AS passed FROM ({head}{body} AS failures) t"
+
+
+def _suite(specs) -> tuple[str, tuple[str, ...]]:
+    deps = tuple(dict.fromkeys([s.model for s in specs] + [s.to_model for s in specs if s.to_model]))
+    return "\nUNION ALL\n".join(_test_sql(s) for s in specs), deps
+
+
+for _kind in ("unique", "not_null", "accepted_values", "relationships"):
+    _specs = [s for s in COLUMN_TESTS if s.test == _kind]
+    _sql, _deps = _suite(_specs)
+    oracle(f"test_{_kind}", _sql, *_deps)
+
+SUSPICIOUS_CTR = """
+, publisher_metrics AS (
+    SELECT publisher_id,
+           sum(CASE WHEN event_type = 'impression' THEN 1 ELSE 0 END) AS impressions,
+           sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS clicks,
+           CASE WHEN sum(CASE WHEN event_type = 'impression' THEN 1 ELSE 0 END) > 0
+                THEN CAST(sum(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS DOUBLE) * 100.0
+                     / sum(CASE WHEN event_type = 'impression' THEN 1 ELSE 0 END)
+                ELSE 0 END AS ctr_raw
+    FROM stg_ad_events GROUP BY publisher_id),
+ctr_failures AS (
+    SELECT publisher_id, CAST(impressions AS BIGINT) AS impressions, CAST(clicks AS BIGINT) AS clicks,
+           """ + rnd("ctr_raw", 2) + """ AS ctr_pct, ctr_raw
+    FROM publisher_metrics WHERE ctr_raw > 100)
+"""
+oracle("test_suspicious_ctr", SUSPICIOUS_CTR + "SELECT publisher_id, impressions, clicks, ctr_pct FROM ctr_failures "
+       "ORDER BY ctr_raw DESC", "stg_ad_events")
+
+_all_sql, _all_deps = _suite(COLUMN_TESTS)
+ALL_TESTS = ("\n, all_tests AS (\n" + _all_sql + "\nUNION ALL\nSELECT 'stg_ad_events', '', 'suspicious_ctr_check', "
+             "count(*), count(*) = 0 FROM ctr_failures)\n")
+oracle("data_test_results", SUSPICIOUS_CTR + ALL_TESTS + "SELECT * FROM all_tests", *_all_deps)
+oracle("quality_scorecard", SUSPICIOUS_CTR + ALL_TESTS + f"""
+SELECT model, count(*) AS tests, {cnt('passed')} AS passed_tests,
+       {rnd('CAST(' + cnt('passed') + ' AS DOUBLE) * 100.0 / count(*)', 2)} AS pass_rate_pct
+FROM all_tests GROUP BY model""", *_all_deps)
+
+oracle("test_expectations", "\n UNION ALL \n".join(f"""
+SELECT '{t}' AS model, 'fill_rate_pct' AS column_name, 'values_between' AS test,
+       {cnt('fill_rate_pct < 0 OR fill_rate_pct > 100')} AS failures, CAST(NULL AS DOUBLE) AS observed,
+       {cnt('fill_rate_pct < 0 OR fill_rate_pct > 100')} = 0 AS passed
+FROM {t}
+UNION ALL
+SELECT '{t}', 'ctr_pct', 'mean_between',
+       CAST(CASE WHEN avg(ctr_pct) BETWEEN 0 AND 5 THEN 0 ELSE 1 END AS BIGINT), {rnd('avg(ctr_pct)', 4)},
+       avg(ctr_pct) BETWEEN 0 AND 5
+FROM {t}""" for t in ("fct_ad_events_daily", "fct_publisher_performance")),
+       "fct_ad_events_daily", "fct_publisher_performance")
+
+oracle("test_freshness", f"""
+SELECT 'ad_events' AS source, max(_loaded_at) AS max_loaded_at,
+       {rnd("(epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(max(_loaded_at))) / 3600.0", 2)} AS age_hours,
+       CASE WHEN (epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(max(_loaded_at))) / 3600.0 > 48 THEN 'error'
+            WHEN (epoch(TIMESTAMP '2024-01-31 00:00:00') - epoch(max(_loaded_at))) / 3600.0 > 24 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM raw_ad_events""", "raw_ad_events")
+
+oracle("test_negative_revenue", """
+SELECT 'stg_ad_events' AS model, 'revenue_usd' AS column_name, 'non_negative' AS test,
+       count(*) AS failures, CAST(sum(revenue_usd) AS DECIMAL(38,6)) AS negative_revenue_total, count(*) = 0 AS passed
+FROM stg_ad_events WHERE revenue_usd < 0""", "stg_ad_events")
+
+# ---- profiling --------------------------------------------------------------------------
+oracle("dup_event_ids", "SELECT event_id, count(*) AS cnt FROM raw_ad_events GROUP BY event_id HAVING count(*) > 1",
+       "raw_ad_events")
+oracle("duplicate_rate", f"""
+SELECT count(*) AS total_events, count(DISTINCT event_id) AS unique_events,
+       count(*) - count(DISTINCT event_id) AS duplicate_count,
+       {rnd('CAST(count(*) - count(DISTINCT event_id) AS DOUBLE) * 100.0 / count(*)', 2)} AS duplicate_pct,
+       CAST(count(*) - count(DISTINCT event_id) AS DOUBLE) * 100.0 / count(*) > 1.0 AS duplicate_alert
+FROM raw_ad_events""", "raw_ad_events")
+oracle("duplicate_nature", """
+SELECT event_id, count(*) AS cnt, count(DISTINCT event_timestamp) AS distinct_timestamps,
+       count(DISTINCT revenue_usd) AS distinct_revenues, count(DISTINCT _loaded_at) AS distinct_load_times
+FROM raw_ad_events GROUP BY event_id HAVING count(*) > 1""", "raw_ad_events")
+oracle("ctr_by_publisher_domain", f"""
+SELECT publisher_id, site_domain, events, revenue, avg_revenue, fill_rate_pct, clicks, impressions, ctr_pct FROM (
+  SELECT publisher_id, site_domain, count(*) AS events, {money('revenue_usd')} AS revenue,
+         {rnd('CAST(sum(revenue_usd) AS DOUBLE) / count(revenue_usd)', 4)} AS avg_revenue,
+         {rnd("CAST(sum(CASE WHEN is_filled = 1 THEN 1 ELSE 0 END) AS DOUBLE) * 100.0 / count(*)", 2)} AS fill_rate_pct,
+         {cnt("event_type = 'click'")} AS clicks, {cnt("event_type = 'impression'")} AS impressions,
+         {pct(cnt("event_type = 'click'"), cnt("event_type = 'impression'"), 4)} AS ctr_pct
+  FROM raw_ad_events GROUP BY publisher_id, site_domain
+  ORDER BY ctr_pct DESC, publisher_id, site_domain LIMIT 20) t""", "raw_ad_events")
+oracle("negative_revenue_scale", """
+SELECT count(*) FILTER (WHERE revenue_usd < 0) AS negative_revenue_events,
+       CAST(sum(revenue_usd) FILTER (WHERE revenue_usd < 0) AS DECIMAL(38,6)) AS total_negative_revenue,
+       CAST(count(*) FILTER (WHERE revenue_usd < 0) AS DOUBLE) * 100.0 / (SELECT count(*) FROM raw_ad_events) AS pct_of_total
+FROM raw_ad_events""", "raw_ad_events")
+oracle("null_pattern", """
+SELECT count_if(campaign_id IS NULL) AS null_campaigns, count_if(advertiser_id IS NULL) AS null_advertisers,
+       count_if(is_filled = 0) AS unfilled_events,
+       count_if(campaign_id IS NULL AND advertiser_id IS NULL AND is_filled = 0) AS all_three,
+       count(*) AS total
+FROM raw_ad_events""", "raw_ad_events")
+oracle("revenue_by_fill_and_type", f"""
+SELECT is_filled, event_type, count(*) AS events, {money('revenue_usd')} AS total_revenue,
+       {rnd('CAST(sum(revenue_usd) AS DOUBLE) / count(revenue_usd)', 6)} AS avg_revenue,
+       min(revenue_usd) AS min_revenue, max(revenue_usd) AS max_revenue
+FROM raw_ad_events GROUP BY is_filled, event_type ORDER BY is_filled DESC, event_type""", "raw_ad_events")
+oracle("negative_revenue_events", """
+SELECT event_id, event_type, publisher_id, site_domain, campaign_id, revenue_usd, bid_floor_usd, is_filled, event_timestamp
+FROM raw_ad_events WHERE revenue_usd < 0 ORDER BY revenue_usd ASC, event_id, _loaded_at LIMIT 20""", "raw_ad_events")
+oracle("revenue_by_event_type", f"""
+SELECT event_type, count(*) AS events, {money('revenue_usd')} AS total_revenue,
+       CAST(sum(revenue_usd) AS DOUBLE) / count(revenue_usd) AS avg_revenue
+FROM raw_ad_events GROUP BY event_type""", "raw_ad_events")
+oracle("time_coverage", """
+SELECT min(event_timestamp) AS earliest, max(event_timestamp) AS latest,
+       CAST(date_diff('day', CAST(min(event_timestamp) AS DATE), CAST(max(event_timestamp) AS DATE)) AS INT) AS days_span
+FROM raw_ad_events""", "raw_ad_events")
+oracle("top_domains", """
+SELECT site_domain, count(*) AS events FROM raw_ad_events GROUP BY site_domain
+ORDER BY events DESC, site_domain LIMIT 5""", "raw_ad_events")
+oracle("daily_volume", f"""
+SELECT total_events, first_day, last_day, days, {rnd('CAST(total_events AS DOUBLE) / days', 2)} AS avg_events_per_day FROM (
+  SELECT count(*) AS total_events, min(CAST(event_timestamp AS DATE)) AS first_day, max(CAST(event_timestamp AS DATE)) AS last_day,
+         CAST(date_diff('day', min(CAST(event_timestamp AS DATE)), max(CAST(event_timestamp AS DATE))) + 1 AS INT) AS days
+  FROM raw_ad_events) t""", "raw_ad_events")
+oracle("table_row_counts", "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {src}" for n, src in (
+        ("ad_events", "raw_ad_events"), ("publishers", "raw_publishers"), ("campaigns", "raw_campaigns"),
+        ("ad_units", "raw_ad_units"), ("stg_ad_events", "stg_ad_events"), ("stg_publishers", "stg_publishers"),
+        ("stg_campaigns", "stg_campaigns"), ("stg_ad_units", "stg_ad_units"))),
+    "stg_ad_events", "stg_publishers", "stg_campaigns", "stg_ad_units")
+oracle("network_fill_rate", f"""
+SELECT CAST(sum(filled_impressions) AS BIGINT) AS filled_impressions, CAST(sum(impressions) AS BIGINT) AS impressions,
+       {pct_nullif('sum(filled_impressions)', 'sum(impressions)', 2)} AS fill_rate_pct
+FROM fct_publisher_performance""", "fct_publisher_performance")
+oracle("revenue_concentration", f"""
+, per_pub AS (SELECT publisher_id, sum(total_revenue_usd) AS revenue FROM fct_publisher_performance GROUP BY publisher_id),
+ranked AS (SELECT *, row_number() OVER (ORDER BY revenue DESC, publisher_id) AS rk FROM per_pub),
+tot AS (SELECT CAST(sum(CASE WHEN rk <= 5 THEN revenue END) AS DECIMAL(38,6)) AS top_revenue,
+               CAST(sum(revenue) AS DECIMAL(38,6)) AS total_revenue, count(*) AS publishers FROM ranked)
+SELECT 5 AS top_k, top_revenue, total_revenue, publishers,
+       {pct_nullif('top_revenue', 'total_revenue', 2)} AS top_share_pct FROM tot""", "fct_publisher_performance")
+oracle("revenue_unit_economics", f"""
+SELECT event_type, events, revenue,
+       {rnd('CAST(revenue AS DOUBLE) / events', 4)} AS revenue_per_event,
+       {rnd('CAST(revenue AS DOUBLE) / events * 1000.0', 2)} AS revenue_per_mille,
+       {pct_nullif('revenue', 'sum(revenue) OVER ()', 2)} AS revenue_share_pct
+FROM (SELECT event_type, count(*) AS events, {money('revenue_usd')} AS revenue FROM raw_ad_events GROUP BY event_type) g
+""", "raw_ad_events")
+
+# ---- seeded-condition detectors ---------------------------------------------------------
+oracle("country_case_anomalies", f"""
+SELECT country_code, upper(country_code) AS normalized_country_code, count(*) AS events, {money('revenue_usd')} AS revenue
+FROM stg_ad_events WHERE country_code != upper(country_code) GROUP BY country_code""", "stg_ad_events")
+oracle("domain_mismatch", """
+SELECT e.event_id, e.publisher_id, e.site_domain, p.primary_domain, e.event_date
+FROM stg_ad_events e JOIN stg_publishers p ON e.publisher_id = p.publisher_id
+WHERE e.site_domain != p.primary_domain""", "stg_ad_events", "stg_publishers")
+oracle("future_events", """
+SELECT event_id, publisher_id, event_timestamp, _loaded_at FROM stg_ad_events
+WHERE event_timestamp >= TIMESTAMP '2024-02-01 00:00:00'""", "stg_ad_events")
+oracle("orphan_campaign_events", """
+SELECT event_id, campaign_id, advertiser_id, publisher_id, event_date FROM stg_ad_events e
+WHERE campaign_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM stg_campaigns c WHERE c.campaign_id = e.campaign_id)""",
+       "stg_ad_events", "stg_campaigns")
+oracle("out_of_flight_delivery", """
+SELECT e.event_id, e.campaign_id, e.event_date, c.campaign_start_date, c.campaign_end_date, c.campaign_status
+FROM stg_ad_events e JOIN stg_campaigns c ON e.campaign_id = c.campaign_id
+WHERE NOT (e.event_date BETWEEN c.campaign_start_date AND c.campaign_end_date)""", "stg_ad_events", "stg_campaigns")
+oracle("traffic_bursts", f"""
+, hourly AS (
+  SELECT publisher_id, date_trunc('hour', event_timestamp) AS event_hour, device_type, country_code, browser,
+         count(*) AS events
+  FROM stg_ad_events GROUP BY publisher_id, date_trunc('hour', event_timestamp), device_type, country_code, browser),
+means AS (SELECT publisher_id, CAST(sum(events) AS DOUBLE) / count(events) AS publisher_mean FROM hourly GROUP BY publisher_id)
+SELECT h.publisher_id, h.event_hour, h.device_type, h.country_code, h.browser, h.events,
+       {rnd('m.publisher_mean', 4)} AS publisher_mean
+FROM hourly h JOIN means m ON h.publisher_id = m.publisher_id
+WHERE h.events >= 20 AND CAST(h.events AS DOUBLE) > m.publisher_mean * 10.0""", "stg_ad_events")
+oracle("ad_unit_mismatch", """
+SELECT e.event_id, e.ad_unit_id, e.publisher_id, u.publisher_id AS unit_publisher_id, e.event_date
+FROM stg_ad_events e JOIN stg_ad_units u ON e.ad_unit_id = u.ad_unit_id
+WHERE e.publisher_id != u.publisher_id""", "stg_ad_events", "stg_ad_units")
+oracle("advertiser_mismatch", """
+SELECT e.event_id, e.campaign_id, e.advertiser_id, c.advertiser_id AS campaign_advertiser_id, e.event_date
+FROM stg_ad_events e JOIN stg_campaigns c ON e.campaign_id = c.campaign_id
+WHERE e.advertiser_id != c.advertiser_id""", "stg_ad_events", "stg_campaigns")
+oracle("targeting_violations", """
+SELECT event_id, campaign_id, device_type, country_code,
+       CASE WHEN NOT list_contains(devices, device_type) THEN 1 ELSE 0 END AS device_violation,
+       CASE WHEN NOT list_contains(countries, country_code) THEN 1 ELSE 0 END AS country_violation
+FROM (SELECT e.event_id, e.campaign_id, e.device_type, e.country_code,
+             string_split(c.targeting_device_types, ',') AS devices,
+             string_split(c.targeting_countries, ',') AS countries
+      FROM stg_ad_events e JOIN stg_campaigns c ON e.campaign_id = c.campaign_id) j
+WHERE NOT list_contains(devices, device_type) OR NOT list_contains(countries, country_code)""",
+       "stg_ad_events", "stg_campaigns")
+oracle("inactive_unit_events", """
+SELECT event_id, ad_unit_id, publisher_id, event_date FROM stg_ad_events
+WHERE ad_unit_id IN (SELECT ad_unit_id FROM stg_ad_units WHERE is_active = 0)""", "stg_ad_events", "stg_ad_units")
+oracle("below_floor_events", """
+SELECT event_id, publisher_id, event_type, revenue_usd, bid_floor_usd FROM stg_ad_events
+WHERE is_filled = 1 AND revenue_usd < bid_floor_usd""", "stg_ad_events")
+
+# ---- time series / extensions -----------------------------------------------------------
+oracle("publishers_scd2", """
+SELECT publisher_id, publisher_name, publisher_category, primary_domain, account_manager, country,
+       updated_at AS valid_from, lead(updated_at) OVER (PARTITION BY publisher_id ORDER BY updated_at) AS valid_to,
+       CASE WHEN lead(updated_at) OVER (PARTITION BY publisher_id ORDER BY updated_at) IS NULL THEN 1 ELSE 0 END AS is_current
+FROM raw_publishers""", "raw_publishers")
+for _d in (7, 30):
+    oracle(f"rolling_{_d}d_metrics", f"""
+SELECT event_date, publisher_id, {_d} AS window_days, impressions, clicks, revenue, active_days,
+       {pct('clicks', 'impressions', 4)} AS ctr_pct, {pct('filled_impressions', 'impressions', 2)} AS fill_rate_pct
+FROM (
+  SELECT a.event_date, a.publisher_id,
+         CAST(sum(b.impressions) AS BIGINT) AS impressions, CAST(sum(b.clicks) AS BIGINT) AS clicks,
+         CAST(sum(b.filled_impressions) AS BIGINT) AS filled_impressions,
+         CAST(sum(b.total_revenue_usd) AS DECIMAL(38,6)) AS revenue, count(*) AS active_days
+  FROM fct_publisher_performance a JOIN fct_publisher_performance b
+    ON a.publisher_id = b.publisher_id AND b.event_date BETWEEN a.event_date - {_d - 1} AND a.event_date
+  GROUP BY a.event_date, a.publisher_id) t""", "fct_publisher_performance")
+
+
+def _traffic(key_expr: str, key_name: str) -> str:
+    return f"""
+SELECT {key_name}, events, impressions, filled_impressions, clicks, viewable_impressions, revenue,
+       {pct('clicks', 'impressions', 4)} AS ctr_pct,
+       {pct('filled_impressions', 'impressions', 2)} AS fill_rate_pct,
+       {pct('viewable_impressions', 'impressions', 2)} AS viewability_rate_pct
+FROM (SELECT {key_expr} AS {key_name}, count(*) AS events, {cnt("event_type = 'impression'")} AS impressions,
+             {cnt("event_type = 'impression' AND is_filled = 1")} AS filled_impressions,
+             {cnt("event_type = 'click'")} AS clicks, {cnt("event_type = 'viewable_impression'")} AS viewable_impressions,
+             {money('revenue_usd')} AS revenue
+      FROM stg_ad_events GROUP BY {key_expr}) g"""
+
+
+oracle("device_performance", _traffic("device_type", "device_type"), "stg_ad_events")
+oracle("geo_revenue", _traffic("upper(country_code)", "country"), "stg_ad_events")
+oracle("valid_vs_total_traffic", f"""
+SELECT *, {pct('total_clicks', 'total_impressions', 4)} AS total_ctr_pct,
+       {pct('valid_clicks', 'valid_impressions', 4)} AS valid_ctr_pct,
+       {pct_nullif('valid_events', 'total_events', 2)} AS valid_share_pct
+FROM (SELECT event_date, count(*) AS total_events, {cnt('is_suspicious_traffic = 0')} AS valid_events,
+             {cnt("event_type = 'impression'")} AS total_impressions,
+             {cnt("is_suspicious_traffic = 0 AND event_type = 'impression'")} AS valid_impressions,
+             {cnt("event_type = 'click'")} AS total_clicks,
+             {cnt("is_suspicious_traffic = 0 AND event_type = 'click'")} AS valid_clicks,
+             {money('revenue_usd')} AS total_revenue,
+             {money('CASE WHEN is_suspicious_traffic = 0 THEN revenue_usd ELSE 0 END')} AS valid_revenue
+      FROM stg_ad_events GROUP BY event_date) g""", "stg_ad_events")
+oracle("dim_dates", """
+SELECT date_day, CAST(year(date_day) AS INT) AS year, CAST(month(date_day) AS INT) AS month,
+       CAST(day(date_day) AS INT) AS day_of_month, CAST(dayofweek(date_day) + 1 AS INT) AS day_of_week,
+       CAST(weekofyear(date_day) AS INT) AS iso_week,
+       CASE WHEN dayofweek(date_day) IN (0, 6) THEN 1 ELSE 0 END AS is_weekend,
+       strftime(date_day, '%Y%m') AS year_month
+FROM (SELECT CAST(unnest(generate_series(min(event_date), max(event_date), INTERVAL 1 DAY)) AS DATE) AS date_day
+      FROM stg_ad_events) d""", "stg_ad_events")
+oracle("publisher_cohorts", """
+SELECT p.cohort_month, CAST(date_trunc('month', f.event_date) AS DATE) AS activity_month,
+       count(DISTINCT f.publisher_id) AS active_publishers, CAST(sum(f.total_events) AS BIGINT) AS events,
+       CAST(sum(f.total_revenue_usd) AS DECIMAL(38,6)) AS revenue
+FROM fct_publisher_performance f
+JOIN (SELECT publisher_id, CAST(date_trunc('month', created_at) AS DATE) AS cohort_month FROM stg_publishers) p
+  ON f.publisher_id = p.publisher_id
+GROUP BY p.cohort_month, CAST(date_trunc('month', f.event_date) AS DATE)""", "fct_publisher_performance", "stg_publishers")
