@@ -29,7 +29,9 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    return Models(from_testdata(spark, sf_dir))
+    m = Models(from_testdata(spark, sf_dir))
+    m.sf_dir = sf_dir  # streaming queries re-read the source files as a stream
+    return m
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,3 +77,22 @@ for _name in ("country_case_anomalies", "domain_mismatch", "future_events", "orp
 for _name in ("publishers_scd2", "rolling_7d_metrics", "rolling_30d_metrics", "device_performance",
               "geo_revenue", "valid_vs_total_traffic", "dim_dates", "publisher_cohorts"):
     register(_name)(getattr(timeseries, _name))
+
+# ---- materialisation / incremental / retention ------------------------------------------------
+from adtally.plans import incremental  # noqa: E402
+
+for _name in ("mart_roundtrip", "fct_daily_incremental", "retention_split"):
+    register(_name)(getattr(incremental, _name))
+
+# ---- streaming ------------------------------------------------------------------------------------
+from adtally.streaming import jobs as streaming_jobs  # noqa: E402
+
+
+def _stream(fn):
+    return lambda m: fn(m.raw.spark, m.sf_dir)
+
+
+register("late_arrival_lag")(lambda m: streaming_jobs.lag_counts(m.raw.ad_events))
+register("stream_ctr_alert")(_stream(streaming_jobs.ctr_alert_stream))
+register("stream_dedup")(_stream(streaming_jobs.dedup_stream))
+register("stream_late_arrival_lag")(_stream(streaming_jobs.lag_stream))

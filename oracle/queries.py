@@ -359,3 +359,43 @@ FROM fct_publisher_performance f
 JOIN (SELECT publisher_id, CAST(date_trunc('month', created_at) AS DATE) AS cohort_month FROM stg_publishers) p
   ON f.publisher_id = p.publisher_id
 GROUP BY p.cohort_month, CAST(date_trunc('month', f.event_date) AS DATE)""", "fct_publisher_performance", "stg_publishers")
+
+# ---- materialisation / incremental / retention ------------------------------------------
+oracle("mart_roundtrip", "SELECT * FROM fct_ad_events_daily", "fct_ad_events_daily")
+oracle("fct_daily_incremental", """
+, new_rows AS (SELECT * FROM raw_ad_events WHERE _loaded_at > TIMESTAMP '2024-01-25 00:00:00'),
+touched AS (
+  SELECT CAST(event_timestamp AS DATE) AS d FROM new_rows
+  UNION
+  SELECT CAST(r.event_timestamp AS DATE) FROM raw_ad_events r
+  WHERE r._loaded_at <= TIMESTAMP '2024-01-25 00:00:00' AND r.event_id IN (SELECT event_id FROM new_rows))
+SELECT * FROM fct_ad_events_daily WHERE event_date IN (SELECT d FROM touched)""", "raw_ad_events", "fct_ad_events_daily")
+oracle("retention_split", f"""
+SELECT tier, count(*) AS fact_rows, count(DISTINCT event_date) AS days, min(event_date) AS first_date,
+       max(event_date) AS last_date, {money('total_revenue_usd')} AS revenue
+FROM (SELECT *, CASE WHEN event_date < DATE '2024-01-31' - INTERVAL 730 DAY THEN 'archive' ELSE 'hot' END AS tier
+      FROM fct_ad_events_daily) f
+GROUP BY tier""", "fct_ad_events_daily")
+
+# ---- streaming (the stream must equal the batch statement over the same input) ----------
+_LAG = """(CAST(epoch(_loaded_at) AS BIGINT) - CAST(epoch(event_timestamp) AS BIGINT)) / 3600.0"""
+_LAG_SQL = f"""
+SELECT lag_bucket, count(*) AS rows, {cnt('is_filled = 1')} AS filled_rows FROM (
+  SELECT *, CASE WHEN {_LAG} < 0 THEN 'loaded_before_event' WHEN {_LAG} <= 24 THEN 'within_1d'
+                 WHEN {_LAG} <= 48 THEN '1d_to_2d' WHEN {_LAG} <= 168 THEN '2d_to_7d' ELSE 'over_7d' END AS lag_bucket
+  FROM raw_ad_events) b
+GROUP BY lag_bucket"""
+oracle("late_arrival_lag", _LAG_SQL, "raw_ad_events")
+oracle("stream_late_arrival_lag", _LAG_SQL, "raw_ad_events")
+oracle("stream_ctr_alert", f"""
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, publisher_id, impressions, clicks,
+       {pct('clicks', 'impressions', 4)} AS ctr_pct,
+       impressions > 0 AND CAST(clicks AS DOUBLE) * 100.0 / impressions > 5.0 AS is_alert
+FROM (SELECT date_trunc('hour', event_timestamp) AS window_start, publisher_id,
+             {cnt("event_type = 'impression'")} AS impressions, {cnt("event_type = 'click'")} AS clicks
+      FROM raw_ad_events GROUP BY date_trunc('hour', event_timestamp), publisher_id) g""", "raw_ad_events")
+oracle("stream_dedup", """
+SELECT event_id, event_type, event_timestamp, publisher_id, site_domain, ad_unit_id, campaign_id, advertiser_id,
+       device_type, country_code, browser, revenue_usd, bid_floor_usd, is_filled
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY _loaded_at DESC) AS rn FROM raw_ad_events) d
+WHERE rn = 1""", "raw_ad_events")
