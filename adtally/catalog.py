@@ -28,9 +28,18 @@ def register(name: str) -> Callable[[QueryFn], QueryFn]:
     return deco
 
 
+_MODELS: dict[tuple[str, str, int], Models] = {}
+
+
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    m = Models(from_testdata(spark, sf_dir))
-    m.sf_dir = sf_dir  # streaming queries re-read the source files as a stream
+    """Model DAG over ``sf_dir``, reused per session: the analysed plans (not results) are
+    shared between queries, so the raw-table derivation is parsed and resolved once."""
+    key = (spark.sparkContext.applicationId, sf_dir, id(spark))
+    m = _MODELS.get(key)
+    if m is None:
+        m = Models(from_testdata(spark, sf_dir))
+        m.sf_dir = sf_dir  # streaming queries re-read the source files as a stream
+        _MODELS[key] = m
     return m
 
 

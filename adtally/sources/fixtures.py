@@ -17,7 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 # ---- fixed values: fixture derivation rules (must match the oracle's copy) -------------
-RAW_AD_EVENTS_SQL = """
+RAW_AD_EVENTS_CTES = """
 WITH base AS (
   SELECT event_id AS eid, ts, value, event_type AS st,
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k,
@@ -58,6 +58,10 @@ shaped AS (
     CAST(CAST(ts AS DATE) AS TIMESTAMP_NTZ) + CASE WHEN eid % 333 = 0 THEN INTERVAL '39' DAY WHEN eid % 61 = 0 THEN INTERVAL '4' DAY ELSE INTERVAL '1' DAY END + INTERVAL '6' HOUR AS loaded_at,
     eid
   FROM typed)
+"""
+
+# Base rows plus one retry copy (loaded 6 hours later) of every event with event_id % 65 = 0.
+RAW_AD_EVENTS_UNION_TAIL = """
 SELECT event_id, event_type, event_timestamp, publisher_id, site_domain, ad_unit_id, campaign_id, advertiser_id,
        device_type, country_code, browser, revenue_usd, CAST(bid_floor_raw AS DECIMAL(18,6)) AS bid_floor_usd, is_filled, loaded_at AS _loaded_at
 FROM shaped
@@ -67,6 +71,15 @@ SELECT event_id, event_type, event_timestamp, publisher_id, site_domain, ad_unit
 FROM shaped WHERE eid % 65 = 0
 """
 
+# Same rows in one pass over ``events``: a generator emits the retry copy next to its
+# original instead of a second scan + union (half the scan and expression work).
+RAW_AD_EVENTS_GENERATE_TAIL = """
+SELECT event_id, event_type, event_timestamp, publisher_id, site_domain, ad_unit_id, campaign_id, advertiser_id,
+       device_type, country_code, browser, revenue_usd, CAST(bid_floor_raw AS DECIMAL(18,6)) AS bid_floor_usd, is_filled,
+       loaded_at + copy_no * INTERVAL '6' HOUR AS _loaded_at
+FROM shaped LATERAL VIEW explode(CASE WHEN eid % 65 = 0 THEN array(0, 1) ELSE array(0) END) copies AS copy_no
+"""
+
 RAW_PUBLISHERS_SQL = """
 SELECT CAST(n_nationkey + 1 AS INT) AS publisher_id, concat('Publisher ', CAST(n_nationkey + 1 AS STRING)) AS publisher_name,
  CASE WHEN n_regionkey = 4 THEN 'mobile_gaming' WHEN n_regionkey = 3 THEN 'entertainment' ELSE 'gaming' END AS publisher_category,
@@ -99,8 +112,11 @@ FROM {nation} LATERAL VIEW explode(array(1, 2, 3)) units AS i
 """
 # ---- end fixed values ------------------------------------------------------------------
 
+RAW_AD_EVENTS_SQL = RAW_AD_EVENTS_CTES + RAW_AD_EVENTS_UNION_TAIL  # reference form (oracle)
+RAW_AD_EVENTS_SPARK_SQL = RAW_AD_EVENTS_CTES + RAW_AD_EVENTS_GENERATE_TAIL
+
 _INPUTS = {
-    "ad_events": (RAW_AD_EVENTS_SQL, "events"),
+    "ad_events": (RAW_AD_EVENTS_SPARK_SQL, "events"),
     "publishers": (RAW_PUBLISHERS_SQL, "nation"),
     "campaigns": (RAW_CAMPAIGNS_SQL, "part"),
     "ad_units": (RAW_AD_UNITS_SQL, "nation"),

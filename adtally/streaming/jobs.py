@@ -39,7 +39,7 @@ def raw_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: in
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(sf_dir)
-    return spark.sql(fixtures.RAW_AD_EVENTS_SQL, events=events)
+    return spark.sql(fixtures.RAW_AD_EVENTS_SPARK_SQL, events=events)
 
 
 def _event_time(col: str) -> F.Column:
