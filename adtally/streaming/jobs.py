@@ -19,8 +19,6 @@ results land under ``spark.checkpoint.dir`` so they survive executor loss.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,12 +28,13 @@ from adtally.session import scratch_path
 from adtally.sources import fixtures
 
 CTR_ALERT_PCT = 5.0  # alert when hourly CTR exceeds 5 %
+EVENT_FILES = "events*.parquet"
 
 
 def raw_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    schema = spark.read.parquet(os.path.join(sf_dir, "events.parquet")).schema
     # a file source watches a folder; the glob keeps it to the event files
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet")
+    schema = spark.read.option("pathGlobFilter", EVENT_FILES).parquet(sf_dir).schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", EVENT_FILES)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     events = reader.parquet(sf_dir)
