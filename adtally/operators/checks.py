@@ -9,8 +9,8 @@ warehouse test definitions:
 * ``relationships``    child rows whose non-NULL key has no parent row
 
 ``summarize`` turns many such tests into one result table (model, column_name, test,
-failures, passed). Counts over one model that need no shuffle (not_null) are computed
-in a single aggregate pass; unique / accepted_values are one hash aggregate each (partial
+failures, passed). All unique / not_null / accepted_values tests of one model run in a
+single scan and a single hash aggregate over an unpivoted (test, value) pair (partial
 aggregation first, so a hot value does not concentrate rows); relationships is a
 left-anti join against the parent keys (broadcast by Spark only when the parent's size is
 under the threshold, sort-merge otherwise).
@@ -81,36 +81,60 @@ def failing_rows(spec: TestSpec, models) -> DataFrame:
     raise ValueError(f"unknown test {spec.test}")
 
 
-def _not_null_pass(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """All not_null tests of one model in one scan: count_if per column, then unpivot."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    stacked = counts.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns
-    ])).alias("r")).select("r.*")
-    return stacked.select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"),
-                          "failures", (F.col("failures") == 0).alias("passed"))
+def _model_pass(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFrame:
+    """All unique / not_null / accepted_values tests of one model in one scan and one shuffle.
+
+    Each row is unpivoted into one ``(t, v)`` entry per test (``v`` = the value as text, or for
+    not_null just NULL / '' ), counted per ``(t, v)`` with a map-side partial aggregate, and the
+    per-test failure counts are summed per ``t`` (partial sums again, so a test whose values
+    are all distinct, like a unique id, never funnels raw rows into one task).
+    """
+    entries = []
+    for i, s in tests:
+        c = F.col(s.column)
+        v = (F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.lit(""))
+             if s.test == "not_null" else c.cast("string"))
+        entries.append(F.struct(F.lit(i).alias("t"), v.alias("v")))
+    counts = (df.select(F.explode(F.array(*entries)).alias("e")).select("e.t", "e.v")
+                .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
+    v, n, t = F.col("v"), F.col("n"), F.col("t")
+    contrib = None
+    for i, s in tests:
+        if s.test == "not_null":
+            e = F.when(v.isNull(), n)
+        elif s.test == "unique":
+            e = F.when(v.isNotNull() & (n > 1), F.lit(1))
+        else:
+            e = F.when(v.isNotNull() & ~v.isin([str(x) for x in s.values]), F.lit(1))
+        e = e.otherwise(F.lit(0))
+        contrib = F.when(t == i, e) if contrib is None else contrib.when(t == i, e)
+    return counts.groupBy("t").agg(F.sum(contrib.otherwise(F.lit(0))).cast("bigint").alias("failures"))
 
 
 def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
-    """One result row per test, in spec order."""
+    """One result row per test ``(model, column_name, test, failures, passed)``, in spec order.
+
+    Column tests are batched per model (``_model_pass``); relationships are one left-anti join
+    each. A test whose model is empty still reports 0 failures.
+    """
     specs = list(specs)
+    per_model: dict[str, list[tuple[int, TestSpec]]] = {}
     parts: list[DataFrame] = []
-    by_model: dict[str, list[str]] = {}
-    for s in specs:
-        if s.test == "not_null":
-            by_model.setdefault(s.model, []).append(s.column)
-    done_nn: set[str] = set()
-    order = {(s.model, s.column, s.test): i for i, s in enumerate(specs)}
-    for s in specs:
-        if s.test == "not_null":
-            if s.model not in done_nn:
-                parts.append(_not_null_pass(models.model(s.model), s.model, by_model[s.model]))
-                done_nn.add(s.model)
-            continue
-        parts.append(_result_row(failing_rows(s, models), s))
-    out = parts[0]
+    for i, s in enumerate(specs):
+        if s.test == "relationships":
+            rel = failing_rows(s, models).agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
+            parts.append(rel.select(F.lit(i).alias("t"), "failures"))
+        elif s.test in ("unique", "not_null", "accepted_values"):
+            per_model.setdefault(s.model, []).append((i, s))
+        else:
+            raise ValueError(f"unknown test {s.test}")
+    parts += [_model_pass(models.model(m), tests) for m, tests in per_model.items()]
+    found = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
-    idx = F.create_map(*[x for (m, c, t), i in order.items() for x in (F.lit(f"{m}|{c}|{t}"), F.lit(i))])
-    return (out.withColumn("test_order", idx[F.concat_ws("|", "model", "column_name", "test")])
-               .orderBy("test_order").drop("test_order"))
+        found = found.unionByName(p)
+    spark = found.sparkSession
+    catalog = spark.createDataFrame([(i, s.model, s.column, s.test) for i, s in enumerate(specs)],
+                                    "t int, model string, column_name string, test string")
+    out = catalog.join(found, "t", "left").withColumn("failures", F.coalesce("failures", F.lit(0).cast("bigint")))
+    return (out.select("t", "model", "column_name", "test", "failures", (F.col("failures") == 0).alias("passed"))
+               .orderBy("t").drop("t"))

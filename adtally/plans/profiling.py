@@ -159,16 +159,18 @@ def network_fill_rate(m: Models) -> DataFrame:
 def revenue_concentration(m: Models, k: int = 5) -> DataFrame:
     """Share of network revenue earned by the top-k publishers.
 
-    Per-publisher totals are tiny (one row per publisher), so ranking them in one
-    window partition is bounded by the publisher count, not by the event volume.
+    The top k come from ``orderBy().limit(k)`` (k rows per task, no global sort or window);
+    the k rows and all per-publisher totals are tagged, unioned and summed in one aggregate
+    (no cross join, no single-partition window over the publishers).
     """
     per_pub = m.fct_publisher_performance.groupBy("publisher_id").agg(
         F.sum("total_revenue_usd").alias("revenue"))
-    ranked = per_pub.withColumn("rk", F.row_number().over(
-        Window.orderBy(F.col("revenue").desc(), F.col("publisher_id").asc())))
-    r = ranked.agg(F.sum(F.when(F.col("rk") <= k, F.col("revenue"))).cast("decimal(38,6)").alias("top_revenue"),
-                   F.sum("revenue").cast("decimal(38,6)").alias("total_revenue"),
-                   F.count(F.lit(1)).alias("publishers"))
+    top = (per_pub.orderBy(F.col("revenue").desc(), F.col("publisher_id").asc()).limit(k)
+           .select(F.lit(True).alias("is_top"), "revenue"))
+    tagged = top.unionByName(per_pub.select(F.lit(False).alias("is_top"), "revenue"))
+    r = tagged.agg(F.sum(F.when(F.col("is_top"), F.col("revenue"))).cast("decimal(38,6)").alias("top_revenue"),
+                   F.sum(F.when(~F.col("is_top"), F.col("revenue"))).cast("decimal(38,6)").alias("total_revenue"),
+                   F.count_if(~F.col("is_top")).alias("publishers"))
     return r.select(F.lit(k).alias("top_k"), "top_revenue", "total_revenue", "publishers",
                     pct_nullif("top_revenue", "total_revenue", 2).alias("top_share_pct"))
 
