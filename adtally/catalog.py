@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adtally.plans import charts
 from adtally.plans.models import Models
-from adtally.sources.registry import from_testdata
+from adtally.sources.load import load_testdata
 
 QueryFn = Callable[[Models], DataFrame]
 
@@ -32,12 +32,16 @@ _MODELS: dict[tuple[str, str, int], Models] = {}
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """Model DAG over ``sf_dir``, reused per session: the analysed plans (not results) are
-    shared between queries, so the raw-table derivation is parsed and resolved once."""
+    """Model DAG over ``sf_dir``, reused per session.
+
+    The first call runs the raw load step (derive the raw tables from ``sf_dir`` and store
+    them in the shared folder, events bucketed by event_id); every query then reads those
+    tables. Only the loaded tables and analysed plans are shared, never query results.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, id(spark))
     m = _MODELS.get(key)
     if m is None:
-        m = Models(from_testdata(spark, sf_dir))
+        m = Models(load_testdata(spark, sf_dir))
         m.sf_dir = sf_dir  # streaming queries re-read the source files as a stream
         _MODELS[key] = m
     return m

@@ -81,6 +81,10 @@ def failing_rows(spec: TestSpec, models) -> DataFrame:
     raise ValueError(f"unknown test {spec.test}")
 
 
+def _sql_str(value) -> str:
+    return "'" + str(value).replace("'", "''") + "'"
+
+
 def _model_pass(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFrame:
     """All unique / not_null / accepted_values tests of one model in one scan and one shuffle.
 
@@ -88,27 +92,24 @@ def _model_pass(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFra
     not_null just NULL / '' ), counted per ``(t, v)`` with a map-side partial aggregate, and the
     per-test failure counts are summed per ``t`` (partial sums again, so a test whose values
     are all distinct, like a unique id, never funnels raw rows into one task).
+    The expressions are SQL text so the JVM parses each one once (no per-node py4j calls).
     """
-    entries = []
-    for i, s in tests:
-        c = F.col(s.column)
-        v = (F.when(c.isNull(), F.lit(None).cast("string")).otherwise(F.lit(""))
-             if s.test == "not_null" else c.cast("string"))
-        entries.append(F.struct(F.lit(i).alias("t"), v.alias("v")))
-    counts = (df.select(F.explode(F.array(*entries)).alias("e")).select("e.t", "e.v")
-                .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
-    v, n, t = F.col("v"), F.col("n"), F.col("t")
-    contrib = None
+    entries, cases = [], []
     for i, s in tests:
+        c = f"`{s.column}`"
         if s.test == "not_null":
-            e = F.when(v.isNull(), n)
+            entries.append(f"named_struct('t', {i}, 'v', CASE WHEN {c} IS NULL THEN CAST(NULL AS STRING) ELSE '' END)")
+            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NULL THEN n ELSE 0 END")
         elif s.test == "unique":
-            e = F.when(v.isNotNull() & (n > 1), F.lit(1))
+            entries.append(f"named_struct('t', {i}, 'v', CAST({c} AS STRING))")
+            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NOT NULL AND n > 1 THEN 1 ELSE 0 END")
         else:
-            e = F.when(v.isNotNull() & ~v.isin([str(x) for x in s.values]), F.lit(1))
-        e = e.otherwise(F.lit(0))
-        contrib = F.when(t == i, e) if contrib is None else contrib.when(t == i, e)
-    return counts.groupBy("t").agg(F.sum(contrib.otherwise(F.lit(0))).cast("bigint").alias("failures"))
+            allowed = ", ".join(_sql_str(x) for x in s.values)
+            entries.append(f"named_struct('t', {i}, 'v', CAST({c} AS STRING))")
+            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NOT NULL AND v NOT IN ({allowed}) THEN 1 ELSE 0 END")
+    counts = (df.selectExpr(f"inline(array({', '.join(entries)}))")
+                .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
+    return counts.groupBy("t").agg(F.expr(f"CAST(sum(CASE {' '.join(cases)} ELSE 0 END) AS BIGINT)").alias("failures"))
 
 
 def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
