@@ -26,6 +26,7 @@ REQUIRED_CONF = {
 LOCAL_DEFAULTS = {
     "spark.sql.shuffle.partitions": "8",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.driver.memory": "8g",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }

@@ -21,13 +21,19 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from adtally.session import checkpoint_root
+from adtally.sources import fixtures
 from adtally.sources.registry import RAW_TABLES, RawSources, from_testdata
 
 EVENT_KEY = "event_id"
+ROWS_PER_BUCKET = 4_000_000  # ~128-256 MB of compressed event rows per bucket file
 
 
-def default_buckets(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def bucket_count(spark: SparkSession, rows: int) -> int:
+    """Buckets sized from the data: about ROWS_PER_BUCKET rows each, at least one per core of
+    the cluster (so scans of small data still use every core), at most Spark's bucket limit."""
+    cores = spark.sparkContext.defaultParallelism
+    cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
+    return max(1, min(cap, max(cores, -(-rows // ROWS_PER_BUCKET))))
 
 
 def write_raw_table(df: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
@@ -45,7 +51,8 @@ def write_raw_table(df: DataFrame, name: str, path: str, buckets: int | None = N
 def load_raw(spark: SparkSession, raw: RawSources, buckets: int | None = None,
              root: str | None = None) -> RawSources:
     """Persist ``raw`` as tables (events bucketed by event_id) and bind the models to them."""
-    buckets = buckets or default_buckets(spark)
+    # a count of Parquet-backed raw tables is answered from file footers
+    buckets = buckets or bucket_count(spark, raw.ad_events.count())
     tag = uuid.uuid4().hex[:12]
     root = root or f"{checkpoint_root(spark)}/raw-{tag}"
     tables = {}
@@ -56,5 +63,11 @@ def load_raw(spark: SparkSession, raw: RawSources, buckets: int | None = None,
 
 
 def load_testdata(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> RawSources:
-    """Derive the raw tables from the driver's parquet and load them (see ``load_raw``)."""
+    """Derive the raw tables from the driver's parquet and load them (see ``load_raw``).
+
+    Buckets are sized from the source ``events`` row count (a footer-only count); the
+    derived table has about 1.5 % more rows (retry copies), irrelevant for sizing.
+    """
+    if not buckets:
+        buckets = bucket_count(spark, fixtures.read_table(spark, sf_dir, "events").count())
     return load_raw(spark, from_testdata(spark, sf_dir), buckets)
