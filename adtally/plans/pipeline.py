@@ -16,7 +16,8 @@ from adtally.plans import charts, quality
 from adtally.plans.models import Models
 from adtally.session import scratch_path
 from adtally.sources import io
-from adtally.sources.registry import RawSources, from_testdata
+from adtally.sources.load import load_testdata
+from adtally.sources.registry import RawSources
 
 STAGES = (
     ("stg_ad_events", "stg_publishers", "stg_campaigns", "stg_ad_units"),
@@ -35,10 +36,13 @@ def build_marts(raw: RawSources, root: str) -> Models:
     return Models(raw, overrides=written)
 
 
-def run_build(spark: SparkSession, sf_dir: str, root: str | None = None) -> dict[str, str]:
-    """Full run: marts, the 35 data tests and the dashboard charts, all written."""
+def run_build(spark: SparkSession, sf_dir: str, root: str | None = None,
+              raw: RawSources | None = None) -> dict[str, str]:
+    """Full run: marts, the 35 data tests and the dashboard charts, all written.
+
+    ``raw`` defaults to a fresh raw load of ``sf_dir`` (see ``sources/load.py``)."""
     root = root or scratch_path(spark, "build")
-    m = build_marts(from_testdata(spark, sf_dir), root)
+    m = build_marts(raw or load_testdata(spark, sf_dir), root)
     outputs = {
         "data_test_results": quality.data_test_results(m),
         "chart_revenue_top5": charts.chart_revenue_top5(m),

@@ -1,17 +1,18 @@
-"""Raw load step: store the raw tables once, ``ad_events`` bucketed by ``event_id``.
+"""Raw load step: derive the raw tables once and store them in the shared folder.
 
 The original warehouse loads its raw tables first and runs every model over them. Here the
-load writes the four raw tables under the shared checkpoint folder as catalog tables:
-
-* ``ad_events`` is hash-bucketed and sorted by ``event_id``. The dedup window
-  (``partition by event_id``) and every ``group by event_id`` then read already co-located
-  buckets, so the largest shuffle of the model DAG disappears from every query. The rows
-  are repartitioned by the bucket key before the write, so each task writes exactly one
-  file per bucket (no buckets x tasks small-file explosion).
-* the three dimensions are written as plain Parquet.
-
-Later models read the tables, never the derivation, so plans stay small and lineage is cut
-at the load (a lost executor re-reads files instead of re-deriving raw rows).
+load writes the four raw tables as Parquet under ``spark.checkpoint.dir``; the models then
+read those files, so query plans stay small and lineage is cut at the load (a lost executor
+re-reads files instead of re-deriving raw rows).
+
+* The write needs no shuffle: each task writes the rows it derived, sorted inside the file
+  by the table's sort key (events by ``event_timestamp, publisher_id``), so Parquet min/max
+  statistics prune time-range and publisher filters.
+* ``ad_events`` is deliberately *not* bucketed by ``event_id``. Bucketing would let the
+  dedup skip its shuffle, but a retried event whose copies make up a large share of the
+  rows would land in a single bucket, and one task would then write and dedup all of it.
+  The shuffle-based dedup keeps a partial row limit before the exchange, so every map task
+  collapses its copies of a hot id to one row first.
 """
 
 from __future__ import annotations
@@ -21,53 +22,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from adtally.session import checkpoint_root
-from adtally.sources import fixtures
 from adtally.sources.registry import RAW_TABLES, RawSources, from_testdata
 
-EVENT_KEY = "event_id"
-ROWS_PER_BUCKET = 4_000_000  # ~128-256 MB of compressed event rows per bucket file
-
-
-def bucket_count(spark: SparkSession, rows: int) -> int:
-    """Buckets sized from the data: about ROWS_PER_BUCKET rows each, at least one per core of
-    the cluster (so scans of small data still use every core), at most Spark's bucket limit."""
-    cores = spark.sparkContext.defaultParallelism
-    cap = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets", "100000"))
-    return max(1, min(cap, max(cores, -(-rows // ROWS_PER_BUCKET))))
-
+# ---- fixed values: sort keys of the raw tables --------------------------------------------
+RAW_SORT_KEYS = {
+    "ad_events": ("event_timestamp", "publisher_id"),
+    "publishers": ("publisher_id",),
+    "campaigns": ("campaign_id",),
+    "ad_units": ("ad_unit_id",),
+}
+# ---- end fixed values ----------------------------------------------------------------------
 
-def write_raw_table(df: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
-    """Write one raw table as an external catalog table at ``path`` and return it."""
-    spark = df.sparkSession
-    if buckets:
-        writer = (df.repartition(buckets, EVENT_KEY).write.mode("overwrite").format("parquet")
-                  .bucketBy(buckets, EVENT_KEY).sortBy(EVENT_KEY))
-    else:
-        writer = df.write.mode("overwrite").format("parquet")
-    writer.option("path", path).saveAsTable(name)
-    return spark.table(name)
 
+def write_raw_table(df: DataFrame, path: str, sort_key: tuple[str, ...]) -> DataFrame:
+    """Write one raw table (no shuffle, sorted inside each file) and read it back typed."""
+    df.sortWithinPartitions(*sort_key).write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def load_raw(spark: SparkSession, raw: RawSources, buckets: int | None = None,
-             root: str | None = None) -> RawSources:
-    """Persist ``raw`` as tables (events bucketed by event_id) and bind the models to them."""
-    # a count of Parquet-backed raw tables is answered from file footers
-    buckets = buckets or bucket_count(spark, raw.ad_events.count())
-    tag = uuid.uuid4().hex[:12]
-    root = root or f"{checkpoint_root(spark)}/raw-{tag}"
-    tables = {}
-    for name in RAW_TABLES:
-        tables[name] = write_raw_table(getattr(raw, name), f"adtally_raw_{name}_{tag}", f"{root}/{name}",
-                                       buckets if name == "ad_events" else None)
-    return RawSources(**tables)
 
+def load_raw(spark: SparkSession, raw: RawSources, root: str | None = None) -> RawSources:
+    """Persist ``raw`` under the shared folder and bind the models to the stored tables."""
+    root = root or f"{checkpoint_root(spark)}/raw-{uuid.uuid4().hex[:12]}"
+    return RawSources(**{name: write_raw_table(getattr(raw, name), f"{root}/{name}", RAW_SORT_KEYS[name])
+                         for name in RAW_TABLES})
 
-def load_testdata(spark: SparkSession, sf_dir: str, buckets: int | None = None) -> RawSources:
-    """Derive the raw tables from the driver's parquet and load them (see ``load_raw``).
 
-    Buckets are sized from the source ``events`` row count (a footer-only count); the
-    derived table has about 1.5 % more rows (retry copies), irrelevant for sizing.
-    """
-    if not buckets:
-        buckets = bucket_count(spark, fixtures.read_table(spark, sf_dir, "events").count())
-    return load_raw(spark, from_testdata(spark, sf_dir), buckets)
+def load_testdata(spark: SparkSession, sf_dir: str) -> RawSources:
+    """Derive the raw tables from the driver's parquet and load them (see ``load_raw``)."""
+    return load_raw(spark, from_testdata(spark, sf_dir))
