@@ -45,7 +45,8 @@ def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, parent_field: str) -> DataFrame:
-    keys = parent.select(F.col(parent_field).alias("__parent_key")).filter(F.col("__parent_key").isNotNull())
+    keys = (parent.select(F.col(parent_field).alias("__parent_key")).filter(F.col("__parent_key").isNotNull())
+            .distinct())
     return (child.filter(F.col(column).isNotNull())
                  .join(keys, F.col(column) == F.col("__parent_key"), "left_anti"))
 

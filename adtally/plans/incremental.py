@@ -40,8 +40,9 @@ def _ts(value: dt.datetime) -> F.Column:
 def touched_dates(raw_events: DataFrame, since: dt.datetime) -> DataFrame:
     new = raw_events.filter(F.col("_loaded_at") > _ts(since))
     new_dates = new.select(F.to_date("event_timestamp").alias("event_date"))
+    # distinct ids (combined map-side) so a hot retried id is one build-side row
     older = (raw_events.filter(F.col("_loaded_at") <= _ts(since))
-             .join(new.select("event_id"), "event_id", "left_semi")
+             .join(new.select("event_id").distinct(), "event_id", "left_semi")
              .select(F.to_date("event_timestamp").alias("event_date")))
     return new_dates.unionByName(older).distinct()
 
@@ -49,7 +50,7 @@ def touched_dates(raw_events: DataFrame, since: dt.datetime) -> DataFrame:
 def fct_daily_for_dates(raw: RawSources, dates: DataFrame) -> DataFrame:
     days = F.broadcast(dates)  # bounded by the number of calendar days in the data
     ev = raw.ad_events.withColumn("event_date", F.to_date("event_timestamp"))
-    candidates = ev.join(days, "event_date", "left_semi").select("event_id")
+    candidates = ev.join(days, "event_date", "left_semi").select("event_id").distinct()
     versions = raw.ad_events.join(candidates, "event_id", "left_semi")
     stg = staging.stg_ad_events(raw.replace(ad_events=versions))
     return marts.fct_ad_events_daily(stg.join(days, "event_date", "left_semi"))

@@ -97,3 +97,26 @@ def test_singular_ctr_test_flags_clicks_over_impressions(m):
     assert r[("stg_ad_events", "event_id", "unique")].failures == 0
     assert r[("stg_publishers", "publisher_id", "unique")].failures == 0
     assert r[("stg_ad_events", "publisher_id", "relationships")].failures == 0
+
+
+def test_hot_key_copies_and_hot_publisher(spark):
+    """One event id with a third of all rows (many retried copies) and one publisher with
+    most rows: dedup keeps exactly the newest copy and the roll-ups stay exact."""
+    from adtally.plans import marts, staging
+
+    hot = [ev("hot", "impression", 1, 1, "0.1", loaded=T0 + dt.timedelta(minutes=i)) for i in range(300)]
+    cold = [ev(f"c{i}", "click" if i % 3 == 0 else "impression", 1 if i < 500 else 2, 1, "1.0") for i in range(600)]
+    pubs = [(1, "P1", "g", "site1.example", "AM", "US", T0, T0), (2, "P2", "g", "site2.example", "AM", "US", T0, T0)]
+    camps = [(1, "C1", 1, "A1", dt.date(2024, 1, 1), dt.date(2024, 1, 31), D("10.00"), "active", "desktop", "US", T0)]
+    raw = RawSources(
+        ad_events=spark.createDataFrame(hot + cold, RAW_AD_EVENTS).repartition(6),
+        publishers=spark.createDataFrame(pubs, RAW_PUBLISHERS),
+        campaigns=spark.createDataFrame(camps, RAW_CAMPAIGNS),
+        ad_units=spark.createDataFrame([("au_1_1", 1, "U", "display", "728x90", "above_fold", 1, T0)], RAW_AD_UNITS),
+    )
+    stg = staging.stg_ad_events(raw)
+    rows = stg.filter("event_id = 'hot'").collect()
+    assert len(rows) == 1 and rows[0]._loaded_at == T0 + dt.timedelta(minutes=299)
+    assert stg.count() == 601
+    perf = {r.publisher_id: r for r in marts.fct_publisher_performance(marts.fct_ad_events_daily(stg)).collect()}
+    assert perf[1].total_events == 501 and perf[1].clicks == 167 and perf[2].total_events == 100
