@@ -5,9 +5,10 @@ load writes the four raw tables as Parquet under ``spark.checkpoint.dir``; the m
 read those files, so query plans stay small and lineage is cut at the load (a lost executor
 re-reads files instead of re-deriving raw rows).
 
-* The write needs no shuffle: each task writes the rows it derived, sorted inside the file
-  by the table's sort key (events by ``event_timestamp, publisher_id``), so Parquet min/max
-  statistics prune time-range and publisher filters.
+* Large inputs need no shuffle: each task writes the rows it derived, sorted inside the
+  file by the table's sort key (events by ``event_timestamp, publisher_id``), so Parquet
+  min/max statistics prune time-range and publisher filters. Inputs with fewer splits than
+  cores are spread round-robin first, so scans of small data still use every core.
 * ``ad_events`` is deliberately *not* bucketed by ``event_id``. Bucketing would let the
   dedup skip its shuffle, but a retried event whose copies make up a large share of the
   rows would land in a single bucket, and one task would then write and dedup all of it.
@@ -34,8 +35,17 @@ RAW_SORT_KEYS = {
 # ---- end fixed values ----------------------------------------------------------------------
 
 
-def write_raw_table(df: DataFrame, path: str, sort_key: tuple[str, ...]) -> DataFrame:
-    """Write one raw table (no shuffle, sorted inside each file) and read it back typed."""
+def write_raw_table(df: DataFrame, path: str, sort_key: tuple[str, ...], spread: bool = False) -> DataFrame:
+    """Write one raw table sorted inside each file and read it back typed.
+
+    Large inputs are written as derived (one file per input split, no shuffle). An input
+    with fewer splits than the cluster has cores (e.g. one small source file) is first
+    spread round-robin when ``spread`` is set (the event table), which is skew-free, so
+    later scans use every core; dimensions stay as written.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if spread and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
     df.sortWithinPartitions(*sort_key).write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -43,7 +53,8 @@ def write_raw_table(df: DataFrame, path: str, sort_key: tuple[str, ...]) -> Data
 def load_raw(spark: SparkSession, raw: RawSources, root: str | None = None) -> RawSources:
     """Persist ``raw`` under the shared folder and bind the models to the stored tables."""
     root = root or f"{checkpoint_root(spark)}/raw-{uuid.uuid4().hex[:12]}"
-    return RawSources(**{name: write_raw_table(getattr(raw, name), f"{root}/{name}", RAW_SORT_KEYS[name])
+    return RawSources(**{name: write_raw_table(getattr(raw, name), f"{root}/{name}", RAW_SORT_KEYS[name],
+                                               spread=(name == "ad_events"))
                          for name in RAW_TABLES})
 
 
