@@ -17,6 +17,9 @@ from adtally.sources.load import load_testdata
 QueryFn = Callable[[Models], DataFrame]
 
 CATALOG: dict[str, QueryFn] = {}
+# queries whose result is defined by Spark's own random stream: no cross-engine SQL oracle,
+# checked against brute force in tests/ instead
+NO_ORACLE = ("replay_sample",)
 
 
 def register(name: str) -> Callable[[QueryFn], QueryFn]:
@@ -77,7 +80,7 @@ for _name in ("dup_event_ids", "duplicate_rate", "duplicate_nature", "ctr_by_pub
               "negative_revenue_scale", "null_pattern", "revenue_by_fill_and_type",
               "negative_revenue_events", "revenue_by_event_type", "time_coverage", "top_domains",
               "daily_volume", "table_row_counts", "network_fill_rate", "revenue_concentration",
-              "revenue_unit_economics"):
+              "revenue_unit_economics", "replay_sample"):
     register(_name)(getattr(profiling, _name))
 
 # ---- seeded-condition detectors ---------------------------------------------------------------

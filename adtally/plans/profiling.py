@@ -185,3 +185,13 @@ def revenue_unit_economics(m: Models) -> DataFrame:
                     round_half_up(avg, 4).alias("revenue_per_event"),
                     round_half_up(avg * F.lit(1000.0), 2).alias("revenue_per_mille"),
                     pct_nullif("revenue", total, 2).alias("revenue_share_pct"))
+
+
+def replay_sample(m: Models, n: int = 2000, seed: int = 42) -> DataFrame:
+    """H6: ``n`` raw rows in random order (the random-order limit used to pick a replay
+    batch). ``orderBy(rand(seed)).limit(n)`` plans as a per-task top-n, never a global sort;
+    deterministic for a fixed seed and input layout. Not SQL-reproducible across engines
+    (each engine has its own random stream), so it is checked against brute force in tests.
+    """
+    return (m.raw.ad_events.withColumn("__r", F.rand(seed))
+            .orderBy("__r").limit(n).drop("__r"))

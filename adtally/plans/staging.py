@@ -8,6 +8,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,8 +44,18 @@ def dedup_events(raw_events: DataFrame) -> DataFrame:
                            F.col("revenue_usd").desc()])
 
 
-def stg_ad_events(raw: RawSources, suspicious_ids: Iterable[int] = SUSPICIOUS_PUBLISHER_IDS) -> DataFrame:
+def stg_ad_events(raw: RawSources, suspicious_ids: Iterable[int] = SUSPICIOUS_PUBLISHER_IDS,
+                  drop_revenue_below: Decimal | None = None) -> DataFrame:
+    """Deduplicated, flagged events.
+
+    ``drop_revenue_below`` is the outlier filter the design notes announce but never apply
+    (drop events with revenue below the bound, e.g. -10). Off by default, as in the
+    reference; negative rows are only flagged. It filters *after* dedup, so a retried copy
+    cannot resurrect a dropped event.
+    """
     events = dedup_events(raw.ad_events)
+    if drop_revenue_below is not None:
+        events = events.filter(F.col("revenue_usd") >= F.lit(drop_revenue_below).cast("decimal(18,6)"))
     return events.select(
         "event_id", "event_type", "event_timestamp",
         F.to_date("event_timestamp").alias("event_date"),
