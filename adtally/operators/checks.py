@@ -9,8 +9,8 @@ warehouse test definitions:
 * ``relationships``    child rows whose non-NULL key has no parent row
 
 ``summarize`` turns many such tests into one result table (model, column_name, test,
-failures, passed). All unique / not_null / accepted_values tests of one model run in a
-single scan and a single hash aggregate over an unpivoted (test, value) pair (partial
+failures, passed). All unique / not_null / accepted_values tests run in one scan per model
+and two hash aggregates over the union of unpivoted (test, value) pairs (partial
 aggregation first, so a hot value does not concentrate rows); relationships is a
 left-anti join against the parent keys (broadcast by Spark only when the parent's size is
 under the threshold, sort-merge otherwise).
@@ -86,15 +86,10 @@ def _sql_str(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
-def _model_pass(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFrame:
-    """All unique / not_null / accepted_values tests of one model in one scan and one shuffle.
-
-    Each row is unpivoted into one ``(t, v)`` entry per test (``v`` = the value as text, or for
-    not_null just NULL / '' ), counted per ``(t, v)`` with a map-side partial aggregate, and the
-    per-test failure counts are summed per ``t`` (partial sums again, so a test whose values
-    are all distinct, like a unique id, never funnels raw rows into one task).
-    The expressions are SQL text so the JVM parses each one once (no per-node py4j calls).
-    """
+def _unpivot(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> tuple[DataFrame, list[str]]:
+    """One ``(t, v)`` row per input row and test (``v`` = the value as text, or for not_null
+    just NULL / ''), plus the SQL that turns a ``(t, v, n)`` count into failures of test t.
+    The expressions are SQL text so the JVM parses each one once (no per-node py4j calls)."""
     entries, cases = [], []
     for i, s in tests:
         c = f"`{s.column}`"
@@ -108,16 +103,33 @@ def _model_pass(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFra
             allowed = ", ".join(_sql_str(x) for x in s.values)
             entries.append(f"named_struct('t', {i}, 'v', CAST({c} AS STRING))")
             cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NOT NULL AND v NOT IN ({allowed}) THEN 1 ELSE 0 END")
-    counts = (df.selectExpr(f"inline(array({', '.join(entries)}))")
-                .groupBy("t", "v").agg(F.count(F.lit(1)).alias("n")))
+    return df.selectExpr(f"inline(array({', '.join(entries)}))"), cases
+
+
+def _column_test_failures(parts: Sequence[tuple[DataFrame, Sequence[tuple[int, TestSpec]]]]) -> DataFrame:
+    """All unique / not_null / accepted_values tests of all models on two shuffles.
+
+    The unpivoted ``(t, v)`` rows of every model are unioned, counted per ``(t, v)`` (partial
+    aggregation per task first), and the failures summed per ``t`` (partial sums again, so a
+    test whose values are all distinct, like a unique id, never funnels rows into one task).
+    """
+    longs, cases = [], []
+    for df, tests in parts:
+        long, c = _unpivot(df, tests)
+        longs.append(long)
+        cases += c
+    rows = longs[0]
+    for other in longs[1:]:
+        rows = rows.unionByName(other)
+    counts = rows.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
     return counts.groupBy("t").agg(F.expr(f"CAST(sum(CASE {' '.join(cases)} ELSE 0 END) AS BIGINT)").alias("failures"))
 
 
 def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
     """One result row per test ``(model, column_name, test, failures, passed)``.
 
-    Column tests are batched per model (``_model_pass``); relationships are one left-anti join
-    each. A test whose model is empty still reports 0 failures.
+    Column tests of all models share one unpivot + two aggregates (``_column_test_failures``);
+    relationships are one left-anti join each. A test whose model is empty reports 0 failures.
     """
     specs = list(specs)
     per_model: dict[str, list[tuple[int, TestSpec]]] = {}
@@ -130,7 +142,8 @@ def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
             per_model.setdefault(s.model, []).append((i, s))
         else:
             raise ValueError(f"unknown test {s.test}")
-    parts += [_model_pass(models.model(m), tests) for m, tests in per_model.items()]
+    if per_model:
+        parts.append(_column_test_failures([(models.model(m), tests) for m, tests in per_model.items()]))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
