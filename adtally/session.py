@@ -82,3 +82,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint root for one materialised table."""
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for a cluster run over ``input_bytes`` of raw events.
+
+    * scan splits of ``target_partition_bytes`` (Parquet row groups permitting);
+    * initial shuffle partitions so each holds about one target partition of the largest
+      shuffle (the dedup on event_id moves roughly the whole projected input), at least two
+      waves of tasks, capped at 100k; AQE coalesces them down for the small later stages;
+    * AQE advisory size equal to the target, skew splitting for partitions 5x the median;
+    * broadcast only under 64 MB (dimensions); larger sides fall back to sort-merge joins.
+    """
+    parts = max(2 * total_cores, min(100_000, -(-input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }

@@ -56,3 +56,11 @@ def test_archive_partitions_prunes_old_dates(spark):
     incremental.archive_partitions(df, path, as_of=dt.date(2024, 1, 31), keep_days=730)
     got = spark.read.parquet(path).collect()
     assert len(got) == 1 and got[0].publisher_id == 1
+
+
+def test_cluster_conf_scales_with_input():
+    from adtally.session import cluster_conf
+    big = cluster_conf(100 * 2**40, total_cores=4000)          # 100 TB on 1000 x 4 cores
+    assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; AQE coalesces later stages
+    small = cluster_conf(10 * 2**20, total_cores=8)
+    assert int(small["spark.sql.shuffle.partitions"]) == 16      # at least two waves of tasks
