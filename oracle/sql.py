@@ -62,16 +62,16 @@ SELECT event_id, event_type, event_timestamp, CAST(event_timestamp AS DATE) AS e
        CASE WHEN publisher_id IN ({SUSPICIOUS}) THEN 1 ELSE 0 END AS is_suspicious_traffic,
        CASE WHEN revenue_usd < 0 THEN 1 ELSE 0 END AS has_negative_revenue,
        _loaded_at
-FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY _loaded_at DESC) AS row_num
-      FROM raw_ad_events) d
-WHERE row_num = 1
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY _loaded_at DESC) AS load_rank
+      FROM raw_ad_events) versions
+WHERE load_rank = 1
 """, "raw_ad_events")
 
 cte("stg_publishers", """
 SELECT publisher_id, publisher_name, publisher_category, primary_domain, account_manager, country, created_at, updated_at
-FROM (SELECT *, row_number() OVER (PARTITION BY publisher_id ORDER BY updated_at DESC) AS row_num
-      FROM raw_publishers) d
-WHERE row_num = 1
+FROM (SELECT *, row_number() OVER (PARTITION BY publisher_id ORDER BY updated_at DESC) AS version_rank
+      FROM raw_publishers) versions
+WHERE version_rank = 1
 """, "raw_publishers")
 
 cte("stg_campaigns", """
@@ -110,33 +110,29 @@ FROM (
          {cnt('has_negative_revenue = 1')} AS negative_revenue_events
   FROM stg_ad_events
   GROUP BY event_date, publisher_id, site_domain, coalesce(campaign_id, 0), coalesce(advertiser_id, 0),
-           device_type, country_code) daily_base
+           device_type, country_code) g
 """, "stg_ad_events")
 
 cte("fct_publisher_performance", f"""
-SELECT event_date, publisher_id,
-       total_events_sum AS total_events, impressions_sum AS impressions,
-       filled_impressions_sum AS filled_impressions, unfilled_impressions_sum AS unfilled_impressions,
-       clicks_sum AS clicks, viewable_impressions_sum AS viewable_impressions,
-       revenue_sum AS total_revenue_usd, {rnd('revenue_avg', 4)} AS avg_revenue_usd,
-       suspicious_events_sum AS suspicious_events, negative_revenue_events_sum AS negative_revenue_events,
-       {pct('filled_impressions_sum', 'impressions_sum', 2)} AS fill_rate_pct,
-       {pct('clicks_sum', 'impressions_sum', 4)} AS ctr_pct,
-       {pct('viewable_impressions_sum', 'impressions_sum', 2)} AS viewability_rate_pct
+SELECT g.*,
+       {pct('filled_impressions', 'impressions', 2)} AS fill_rate_pct,
+       {pct('clicks', 'impressions', 4)} AS ctr_pct,
+       {pct('viewable_impressions', 'impressions', 2)} AS viewability_rate_pct
 FROM (
-  SELECT event_date, publisher_id,
-         CAST(sum(total_events) AS BIGINT) AS total_events_sum,
-         CAST(sum(impressions) AS BIGINT) AS impressions_sum,
-         CAST(sum(filled_impressions) AS BIGINT) AS filled_impressions_sum,
-         CAST(sum(unfilled_impressions) AS BIGINT) AS unfilled_impressions_sum,
-         CAST(sum(clicks) AS BIGINT) AS clicks_sum,
-         CAST(sum(viewable_impressions) AS BIGINT) AS viewable_impressions_sum,
-         {money('total_revenue_usd')} AS revenue_sum,
-         CAST(sum(CAST(avg_revenue_usd AS DECIMAL(18,4))) AS DOUBLE) / count(avg_revenue_usd) AS revenue_avg,
-         CAST(sum(suspicious_events) AS BIGINT) AS suspicious_events_sum,
-         CAST(sum(negative_revenue_events) AS BIGINT) AS negative_revenue_events_sum
-  FROM fct_ad_events_daily
-  GROUP BY event_date, publisher_id) daily_base
+  SELECT f.event_date, f.publisher_id,
+         CAST(sum(f.total_events) AS BIGINT) AS total_events,
+         CAST(sum(f.impressions) AS BIGINT) AS impressions,
+         CAST(sum(f.filled_impressions) AS BIGINT) AS filled_impressions,
+         CAST(sum(f.unfilled_impressions) AS BIGINT) AS unfilled_impressions,
+         CAST(sum(f.clicks) AS BIGINT) AS clicks,
+         CAST(sum(f.viewable_impressions) AS BIGINT) AS viewable_impressions,
+         {money('f.total_revenue_usd')} AS total_revenue_usd,
+         {rnd('CAST(sum(CAST(f.avg_revenue_usd AS DECIMAL(18,4))) AS DOUBLE) / count(f.avg_revenue_usd)', 4)}
+           AS avg_revenue_usd,
+         CAST(sum(f.suspicious_events) AS BIGINT) AS suspicious_events,
+         CAST(sum(f.negative_revenue_events) AS BIGINT) AS negative_revenue_events
+  FROM fct_ad_events_daily f
+  GROUP BY f.event_date, f.publisher_id) g
 """, "fct_ad_events_daily")
 
 cte("dim_publishers", f"""
