@@ -51,6 +51,8 @@ def models_for(spark: SparkSession, sf_dir: str) -> Models:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    if name in STREAMS:  # streams read the event files themselves, no raw load needed
+        return STREAMS[name](spark, sf_dir)
     return CATALOG[name](models_for(spark, sf_dir))
 
 
@@ -104,11 +106,12 @@ for _name in ("mart_roundtrip", "fct_daily_incremental", "retention_split"):
 from adtally.streaming import jobs as streaming_jobs  # noqa: E402
 
 
-def _stream(fn):
-    return lambda m: fn(m.raw.spark, m.sf_dir)
-
+STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_ctr_alert": streaming_jobs.ctr_alert_stream,
+    "stream_dedup": streaming_jobs.dedup_stream,
+    "stream_late_arrival_lag": streaming_jobs.lag_stream,
+}
 
 register("late_arrival_lag")(lambda m: streaming_jobs.lag_counts(m.raw.ad_events))
-register("stream_ctr_alert")(_stream(streaming_jobs.ctr_alert_stream))
-register("stream_dedup")(_stream(streaming_jobs.dedup_stream))
-register("stream_late_arrival_lag")(_stream(streaming_jobs.lag_stream))
+for _name, _fn in STREAMS.items():
+    register(_name)(lambda m, _f=_fn: _f(m.raw.spark, m.sf_dir))

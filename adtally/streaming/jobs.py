@@ -67,8 +67,23 @@ def _append_versions(path: str):
     return write
 
 
-def run_available_now(query_builder, checkpoint: str) -> None:
-    q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_available_now(query_builder, checkpoint: str, state_partitions: int | None = None) -> None:
+    """Run a query over everything available now, then stop.
+
+    Streaming plans get no AQE, so stateful stages keep the shuffle partition count the
+    query starts with (and it is fixed in the checkpoint from then on). It is set here to
+    ``state_partitions`` (default: the cluster's parallelism) only while the query starts;
+    the query runs on its own clone of the session, so the caller's setting is restored
+    right after ``start()``.
+    """
+    spark = SparkSession.getActiveSession()
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
