@@ -63,20 +63,32 @@ def get_spark(master: str | None = None, app_name: str = "adtally", **conf: str)
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and materialised tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when that is unset (local tests) a
-    fresh scratch folder is created and registered, never reused between sessions.
+    Uses the cluster's ``spark.checkpoint.dir`` (or a checkpoint folder already set on the
+    SparkContext). Only when neither is set (local tests) a fresh scratch folder is created
+    once per application and registered with ``setCheckpointDir``; ``spark.checkpoint.dir``
+    itself is a core setting that cannot be changed at runtime.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="adtally-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
-    return root
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+        return root
+    app = spark.sparkContext.applicationId
+    if app in _LOCAL_ROOTS:
+        return _LOCAL_ROOTS[app]
+    ctx_dir = spark.sparkContext.getCheckpointDir()
+    if ctx_dir:
+        return ctx_dir
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="adtally-ckpt-")
+        spark.sparkContext.setCheckpointDir(_LOCAL_ROOTS[app])
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
