@@ -103,7 +103,7 @@ def test_suspicious_ctr(m: Models, threshold: float = SINGULAR_CTR_THRESHOLD) ->
 def singular_result(m: Models) -> DataFrame:
     return test_suspicious_ctr(m).agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit("stg_ad_events").alias("model"), F.lit("").alias("column_name"),
-        F.lit("suspicious_ctr_check").alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
+        F.lit("ctr_above_100").alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
 
 
 def data_test_results(m: Models) -> DataFrame:

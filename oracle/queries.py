@@ -118,7 +118,7 @@ oracle("test_suspicious_ctr", SUSPICIOUS_CTR + "SELECT publisher_id, impressions
        "ORDER BY ctr_raw DESC", "stg_ad_events")
 
 _all_sql, _all_deps = _suite(COLUMN_TESTS)
-ALL_TESTS = ("\n, all_tests AS (\n" + _all_sql + "\nUNION ALL\nSELECT 'stg_ad_events', '', 'suspicious_ctr_check', "
+ALL_TESTS = ("\n, all_tests AS (\n" + _all_sql + "\nUNION ALL\nSELECT 'stg_ad_events', '', 'ctr_above_100', "
              "count(*), count(*) = 0 FROM ctr_failures)\n")
 oracle("data_test_results", SUSPICIOUS_CTR + ALL_TESTS + "SELECT * FROM all_tests", *_all_deps)
 oracle("quality_scorecard", SUSPICIOUS_CTR + ALL_TESTS + f"""

@@ -69,7 +69,7 @@ def test_data_suite_counts(m):
     assert len(rows) == 35
     failed = {(r.model, r.test) for r in rows if not r.passed}
     # the singular CTR test is meant to fail; orphan-free relationships hold on the fixtures
-    assert ("stg_ad_events", "suspicious_ctr_check") in failed
+    assert ("stg_ad_events", "ctr_above_100") in failed
 
 
 def test_fixture_measured_properties(m):
