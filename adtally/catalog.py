@@ -88,7 +88,7 @@ for _name in ("dup_event_ids", "duplicate_rate", "duplicate_nature", "ctr_by_pub
 # ---- seeded-condition detectors ---------------------------------------------------------------
 for _name in ("country_case_anomalies", "domain_mismatch", "future_events", "orphan_campaign_events",
               "out_of_flight_delivery", "traffic_bursts", "ad_unit_mismatch", "advertiser_mismatch",
-              "targeting_violations", "inactive_unit_events", "below_floor_events"):
+              "targeting_violations", "inactive_unit_events", "below_floor_events", "suspicious_flag_static"):
     register(_name)(getattr(anomalies, _name))
 
 # ---- time series / extensions -----------------------------------------------------------------

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adtally.functions.expr import mean_double, money_sum, round_half_up
 from adtally.plans.models import Models
+from adtally.plans.staging import SUSPICIOUS_PUBLISHER_IDS, high_risk_publishers
 
 AS_OF = dt.date(2024, 1, 31)
 
@@ -121,3 +122,18 @@ def below_floor_events(m: Models) -> DataFrame:
     """Filled events paid below the bid floor."""
     return (m.stg_ad_events.filter((F.col("is_filled") == 1) & (F.col("revenue_usd") < F.col("bid_floor_usd")))
             .select("event_id", "publisher_id", "event_type", "revenue_usd", "bid_floor_usd"))
+
+
+def suspicious_flag_static(m: Models) -> DataFrame:
+    """The fixed suspicious-publisher list next to the computed rule (CTR > 10 %), per
+    publisher, with where they agree. Publishers come from the publisher dimension."""
+    computed = high_risk_publishers(m.stg_ad_events).withColumn("computed", F.lit(1))
+    p = m.stg_publishers.select("publisher_id").join(computed, "publisher_id", "left")
+    static = F.col("publisher_id").isin(list(SUSPICIOUS_PUBLISHER_IDS))
+    comp = F.col("computed").isNotNull()
+    return p.select(
+        "publisher_id",
+        F.when(static, 1).otherwise(0).alias("in_static_list"),
+        F.when(comp, 1).otherwise(0).alias("computed_high_risk"),
+        F.when(static & comp, "both").when(static, "static_only").when(comp, "computed_only")
+         .otherwise("neither").alias("agreement"))

@@ -28,10 +28,10 @@ MART_NAMES = ("fct_ad_events_daily", "fct_publisher_performance", "dim_publisher
 
 class Models:
     def __init__(self, raw: RawSources | None,
-                 suspicious_ids: Iterable[int] = staging.SUSPICIOUS_PUBLISHER_IDS,
+                 suspicious_ids: Iterable[int] | None = staging.SUSPICIOUS_PUBLISHER_IDS,
                  overrides: dict[str, DataFrame] | None = None):
         self.raw = raw
-        self.suspicious_ids = tuple(suspicious_ids)
+        self.suspicious_ids = None if suspicious_ids is None else tuple(suspicious_ids)
         for name, df in (overrides or {}).items():
             self.__dict__[name] = df  # pre-seed cached_property slots
 

@@ -44,10 +44,27 @@ def dedup_events(raw_events: DataFrame) -> DataFrame:
                            F.col("revenue_usd").desc()])
 
 
-def stg_ad_events(raw: RawSources, suspicious_ids: Iterable[int] = SUSPICIOUS_PUBLISHER_IDS,
+HIGH_RISK_CTR_PCT = 10.0  # computed-flag threshold (same rule as dim_publishers.is_high_risk_publisher)
+
+
+def high_risk_publishers(events: DataFrame, threshold: float = HIGH_RISK_CTR_PCT) -> DataFrame:
+    """Publishers whose CTR over the given (deduplicated) events exceeds ``threshold`` %.
+    One row per publisher: a map-side-combined aggregate, small enough for Spark's
+    size-checked broadcast when joined back to events."""
+    et = F.col("event_type")
+    per_pub = events.groupBy("publisher_id").agg(F.count_if(et == "impression").alias("impressions"),
+                                                 F.count_if(et == "click").alias("clicks"))
+    ctr = F.col("clicks").cast("double") * F.lit(100.0) / F.col("impressions").cast("double")
+    return per_pub.filter((F.col("impressions") > 0) & (ctr > threshold)).select("publisher_id")
+
+
+def stg_ad_events(raw: RawSources, suspicious_ids: Iterable[int] | None = SUSPICIOUS_PUBLISHER_IDS,
                   drop_revenue_below: Decimal | None = None) -> DataFrame:
     """Deduplicated, flagged events.
 
+    ``suspicious_ids`` is the fixed publisher list of the reference; pass ``None`` for the
+    dynamic variant, where the flag marks publishers whose computed CTR exceeds 10 %.
+
     ``drop_revenue_below`` is the outlier filter the design notes announce but never apply
     (drop events with revenue below the bound, e.g. -10). Off by default, as in the
     reference; negative rows are only flagged. It filters *after* dedup, so a retried copy
@@ -56,12 +73,18 @@ def stg_ad_events(raw: RawSources, suspicious_ids: Iterable[int] = SUSPICIOUS_PU
     events = dedup_events(raw.ad_events)
     if drop_revenue_below is not None:
         events = events.filter(F.col("revenue_usd") >= F.lit(drop_revenue_below).cast("decimal(18,6)"))
+    if suspicious_ids is None:
+        flagged = high_risk_publishers(events).withColumn("__risk", F.lit(True))
+        events = events.join(flagged, "publisher_id", "left")
+        suspicious = F.coalesce(F.col("__risk"), F.lit(False))
+    else:
+        suspicious = F.col("publisher_id").isin(list(suspicious_ids))
     return events.select(
         "event_id", "event_type", "event_timestamp",
         F.to_date("event_timestamp").alias("event_date"),
         "publisher_id", "site_domain", "ad_unit_id", "campaign_id", "advertiser_id",
         "device_type", "country_code", "browser", "revenue_usd", "bid_floor_usd", "is_filled",
-        flag(F.col("publisher_id").isin(list(suspicious_ids))).alias("is_suspicious_traffic"),
+        flag(suspicious).alias("is_suspicious_traffic"),
         flag(F.col("revenue_usd") < 0).alias("has_negative_revenue"),
         "_loaded_at",
     )

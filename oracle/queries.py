@@ -390,3 +390,16 @@ SELECT event_id, event_type, event_timestamp, publisher_id, site_domain, ad_unit
        device_type, country_code, browser, revenue_usd, bid_floor_usd, is_filled
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY _loaded_at DESC) AS rn FROM raw_ad_events) d
 WHERE rn = 1""", "raw_ad_events")
+
+oracle("suspicious_flag_static", """
+, computed AS (
+    SELECT publisher_id FROM stg_ad_events GROUP BY publisher_id
+    HAVING count_if(event_type = 'impression') > 0
+       AND CAST(count_if(event_type = 'click') AS DOUBLE) * 100.0 / count_if(event_type = 'impression') > 10)
+SELECT p.publisher_id,
+       CASE WHEN p.publisher_id IN (20, 15, 11, 9, 19, 17, 5, 13) THEN 1 ELSE 0 END AS in_static_list,
+       CASE WHEN c.publisher_id IS NOT NULL THEN 1 ELSE 0 END AS computed_high_risk,
+       CASE WHEN p.publisher_id IN (20, 15, 11, 9, 19, 17, 5, 13) AND c.publisher_id IS NOT NULL THEN 'both'
+            WHEN p.publisher_id IN (20, 15, 11, 9, 19, 17, 5, 13) THEN 'static_only'
+            WHEN c.publisher_id IS NOT NULL THEN 'computed_only' ELSE 'neither' END AS agreement
+FROM stg_publishers p LEFT JOIN computed c ON p.publisher_id = c.publisher_id""", "stg_publishers", "stg_ad_events")

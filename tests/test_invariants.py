@@ -84,3 +84,16 @@ def test_fixture_measured_properties(m):
     assert anomalies.below_floor_events(m).count() == 3928
     assert m.fct_ad_events_daily.count() == 9565
     assert m.fct_publisher_performance.count() == 629
+
+
+def test_static_vs_computed_suspicious_flags(m):
+    from adtally.plans import anomalies
+    from adtally.plans.models import Models
+    rows = {r.publisher_id: r.agreement for r in anomalies.suspicious_flag_static(m).collect()}
+    # measured on the fixtures at sf0.01: one publisher only computed, none only static
+    assert sum(v == "computed_only" for v in rows.values()) == 1
+    assert sum(v == "static_only" for v in rows.values()) == 0
+    dynamic = Models(m.raw, suspicious_ids=None)
+    flagged = {r.publisher_id for r in dynamic.stg_ad_events.filter("is_suspicious_traffic = 1")
+               .select("publisher_id").distinct().collect()}
+    assert flagged == {p for p, v in rows.items() if v in ("both", "computed_only")}
