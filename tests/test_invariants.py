@@ -72,20 +72,6 @@ def test_data_suite_counts(m):
     assert ("stg_ad_events", "ctr_above_100") in failed
 
 
-def test_fixture_measured_properties(m):
-    from adtally.plans import anomalies
-    assert anomalies.domain_mismatch(m).count() == 104
-    assert anomalies.future_events(m).count() == 29
-    assert anomalies.orphan_campaign_events(m).count() == 37
-    assert anomalies.out_of_flight_delivery(m).count() == 3917
-    assert anomalies.ad_unit_mismatch(m).count() == 113
-    assert anomalies.advertiser_mismatch(m).count() == 58
-    assert anomalies.inactive_unit_events(m).count() == 153
-    assert anomalies.below_floor_events(m).count() == 3928
-    assert m.fct_ad_events_daily.count() == 9565
-    assert m.fct_publisher_performance.count() == 629
-
-
 def test_static_vs_computed_suspicious_flags(m):
     from adtally.plans import anomalies
     from adtally.plans.models import Models
