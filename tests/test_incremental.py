@@ -64,3 +64,19 @@ def test_cluster_conf_scales_with_input():
     assert int(big["spark.sql.shuffle.partitions"]) == 100_000  # capped; AQE coalesces later stages
     small = cluster_conf(10 * 2**20, total_cores=8)
     assert int(small["spark.sql.shuffle.partitions"]) == 16      # at least two waves of tasks
+
+
+def test_cluster_conf_keys_are_settable(spark):
+    from adtally.session import cluster_conf
+    conf = cluster_conf(10 * 2**40, total_cores=400)
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+            assert spark.conf.get(k) == v
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
