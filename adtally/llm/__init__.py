@@ -1 +1,8 @@
 """Operations of a large-scale training-data pipeline. Nothing else in the library imports this package."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel with the job, so executors need no copy of the library
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -11,6 +11,8 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from adtally.session import scratch_path
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables, read by Spark's own reader."""
@@ -32,3 +34,24 @@ def partitions(spark: SparkSession, total_bytes: int, target_bytes: int) -> int:
     """Partitions of about ``target_bytes`` each, at least the session's shuffle setting."""
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return max(base, math.ceil(total_bytes / target_bytes))
+
+
+class Stored:
+    """A table written to the shared checkpoint folder: it cuts the lineage and survives lost executors."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, name)
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+
+    def drop(self) -> None:
+        """Delete the files, once nothing that is still to run reads them."""
+        jvm, sc = self.spark._jvm, self.spark.sparkContext
+        path = jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def size_in_bytes(df: DataFrame, *columns: str) -> int:
+    """Sum of the columns' bytes, for checks before a broadcast or a choice of partitions."""
+    total = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
+    return int(df.agg(F.sum(total.cast("long"))).first()[0] or 0)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, fingerprints, line_dedup
+from . import chat_format, decontamination, fingerprints, line_dedup
 from .common import table
 
 
@@ -29,6 +29,14 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return done.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+
+
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = fingerprints.successive_fingerprints(table(spark, sf_dir, "documents"))
     return done.select(
@@ -46,6 +54,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -68,6 +77,36 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(text_chars + CASE WHEN opens THEN 12 + length(role) + 1 + 10 + 1 ELSE 10 END) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op7_benchmark_decontamination": r"""
+WITH doc_words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents)
+), item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT item, least(len(w), 13) AS width, list_slice(w, s + 1, s + least(len(w), 13)) AS phrase
+  FROM (SELECT item, w, unnest(range(greatest(len(w) - 13, 0) + 1)) AS s FROM item_words WHERE len(w) > 0)
+), widths AS (SELECT DISTINCT width FROM item_windows
+), doc_windows AS (
+  SELECT d.doc_id, d.pos, w.width,
+         list(d.word) OVER (PARTITION BY d.doc_id, w.width ORDER BY d.pos ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS following
+  FROM doc_words d, widths w
+), hits AS (
+  SELECT d.doc_id, d.pos, i.width, i.item FROM doc_windows d
+  JOIN item_windows i ON d.width = i.width AND list_slice(d.following, 1, d.width) = i.phrase
+), hit_words AS (
+  SELECT doc_id, count(DISTINCT pos + k) AS n_hit FROM hits, range(13) AS r(k) WHERE k < width GROUP BY doc_id
+), hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
+), sizes AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.items, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= coalesce(s.n_words, 0) AS contaminated
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
 """,
     "op10_line_dedup": r"""
 WITH lines AS (
