@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, fingerprints, line_dedup
+from . import chat_format, decontamination, fingerprints, line_dedup, ngram_join
 from .common import table
 
 
@@ -29,6 +29,10 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return done.select(
@@ -54,6 +58,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_chat_formatting": op3_chat_formatting,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op10_line_dedup": op10_line_dedup,
