@@ -9,10 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, fingerprints, line_dedup, ngram_join
+from . import chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup
 from .common import table
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.remove_earlier_strings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one that tries to break out of its turns; digests read back from the output."""
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -57,6 +64,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
