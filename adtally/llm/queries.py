@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup
+from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup
 from .common import table
 
 
@@ -40,6 +40,16 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
+def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return done.select(
@@ -67,6 +77,7 @@ QUERIES = {
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
+    "op6_bpe_encoding": op6_bpe_encoding,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_document_fingerprints": op8_document_fingerprints,
     "op10_line_dedup": op10_line_dedup,
