@@ -267,7 +267,7 @@ class Encoder:
         pieces = self.splitter.pieces(text)
         if len(self.known) > self.cache_words:
             self.known.clear()
-        unknown = set(pieces) - self.known.keys()
+        unknown = {w for w in pieces if w not in self.known}
         if unknown:
             self._learn(unknown)
         return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
