@@ -9,10 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup
+from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup, toxicity
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from the labelled rows that are not held out only."""
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    done = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out))
+    return done.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                       F.size("spans").cast("long").alias("n_spans"))
+
+
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.remove_earlier_strings(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
@@ -74,6 +82,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
