@@ -34,7 +34,7 @@ from .exchange import ANSWER, ASK, RANGE_HASHES, answer_by_count, ask, chunk_cou
 
 LENGTH, GRAM, LEADING = 50, 20, 16
 HOT = 1024  # documents with one gram
-SEGMENT = 4 << 20  # strings looked at together; a longer text takes several segments
+SEGMENT = 1 << 16  # strings looked at together, so that what is computed on them stays in the cache
 SAMPLE_BYTES, SAMPLE_SUFFIXES = 16 << 20, 50_000
 BUCKET_BYTES = 8 << 20  # text for a bucket of suffixes
 SMALL_SORT = 8192
@@ -87,39 +87,50 @@ class Chunk:
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
         self.ends = np.cumsum([len(t) for t in self.texts])
         self.id_of = np.array([NO_ID if i is None else i for i in self.ids], np.int64)
-        found = [self._anchors(s) for s in range(0, max(0, len(self.data) - length + 1), SEGMENT)]
-        self.at, self.first, self.last, self.hash = (
-            np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-        self.doc = np.searchsorted(self.ends, self.at, side="right")
-
-    def _anchors(self, start: int) -> tuple:
-        """Anchors of the strings that start in one segment, each with the first and last string it stands for."""
-        data = self.data[start:start + SEGMENT + self.length - 1]
-        n = len(data) - self.length + 1
-        hashes = gram_hashes(data, self.gram)
-        ranked = (hashes >> np.uint64(24) << np.uint64(24)) | np.arange(len(hashes), dtype=np.uint64)
-        place = (sliding_min(ranked, self.before + 1)[:n] & np.uint64((1 << 24) - 1)).astype(np.int64)
-        strings = np.arange(n)
-        inside = np.searchsorted(self.ends, start + strings, side="right") == np.searchsorted(
-            self.ends, start + strings + self.length - 1, side="right")
-        place, strings = place[inside], strings[inside]
-        if not len(place):
-            return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-        new = np.flatnonzero(np.diff(place, prepend=-1))
-        return (place[new] + start, strings[new] + start, strings[np.append(new[1:], len(place)) - 1] + start, hashes[place[new]])
+        self.at, self.first, self.last, self.hash, self.doc = self._anchors()
+        # distinct grams in ascending order, and where each anchor's gram is among them
+        self.by_hash = np.argsort(self.hash, kind="stable")
+        in_order = self.hash[self.by_hash]
+        self.new_gram = np.ones(len(in_order), bool)
+        self.new_gram[1:] = in_order[1:] != in_order[:-1]
+        self.grams = in_order[self.new_gram]
+
+    def _anchors(self) -> tuple:
+        """Anchors of all strings, each with the first and last string it stands for, its gram's hash and document."""
+        starts = np.concatenate([[0], self.ends[:-1]]) if len(self.ends) else self.ends
+        places, firsts, lasts, hashes = [], [], [], []
+        for start in range(0, max(0, len(self.data) - self.length + 1), SEGMENT):
+            data = self.data[start:start + SEGMENT + self.length - 1]
+            grams = gram_hashes(data, self.gram)
+            ranked = (grams >> np.uint64(24) << np.uint64(24)) | np.arange(len(grams), dtype=np.uint64)
+            least = sliding_min(ranked, self.before + 1)
+            new = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+            place = (least[new] & np.uint64((1 << 24) - 1)).astype(np.int64)
+            places.append(place + start)
+            firsts.append(new + start)
+            lasts.append(np.append(new[1:], len(least)) - 1 + start)
+            hashes.append(grams[place])
+        if not places:
+            return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        at, first, last, gram = (np.concatenate(x) for x in (places, firsts, lasts, hashes))
+        doc = np.searchsorted(self.ends, at, side="right")
+        first, last = np.maximum(first, starts[doc]), np.minimum(last, self.ends[doc] - self.length)
+        inside = np.flatnonzero(first <= last)  # no string lies across two documents
+        return at[inside], first[inside], last[inside], gram[inside], doc[inside]
 
     def ask_grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Distinct grams of the chunk and the number of its documents that hold each."""
-        order = np.lexsort((self.doc, self.hash))
-        h, d = self.hash[order], self.doc[order]
-        once = np.ones(len(h), bool)
-        once[1:] = (h[1:] != h[:-1]) | (d[1:] != d[:-1])
-        return np.unique(h[once], return_counts=True)
+        if not len(self.grams):
+            return self.grams, np.zeros(0, np.int64)
+        doc = self.doc[self.by_hash]  # ascending within a gram: the sort is stable
+        other = self.new_gram.copy()
+        other[1:] |= doc[1:] != doc[:-1]
+        return self.grams, np.add.reduceat(other, np.flatnonzero(self.new_gram), dtype=np.int64)
 
     def repeating(self, answers: np.ndarray) -> tuple:
         """Distinct contexts and hot strings of the suffixes whose gram other documents hold."""
-        hashes = np.unique(self.hash)
-        byte = answers[np.searchsorted(hashes, self.hash)] if len(hashes) else np.zeros(0, np.uint8)
+        byte = np.zeros(len(self.hash), np.uint8)
+        byte[self.by_hash] = answers[np.cumsum(self.new_gram) - 1] if len(self.grams) else 0
         cool, hot = np.flatnonzero(byte == 1), np.flatnonzero(byte == 2)
         padded = np.concatenate([np.zeros(self.before, np.uint8), self.data, np.zeros(self.length, np.uint8)])
         # columns: the bytes from anchor - before to anchor + length, zero where no string of the anchor reaches
