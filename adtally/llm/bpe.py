@@ -11,7 +11,7 @@ spelt in bytes, the last with a word-end mark, and merged.
    every worker maps it into memory from an unnamed file.
 4. Words that the automaton does not accept are merged exactly, by the lowest rank first, leftmost first.
 
-A worker also keeps the last words it met, at most ``CACHE_WORDS``. Decoding joins the tokens of the ids.
+A worker also keeps the ids of words it met, of the rare ones ``CACHE_WORDS`` at most. Decoding joins the tokens of the ids.
 
 Defined results: null text: empty; an empty text has no ids and decodes to an empty text; rows with equal
 id stay rows of their own.
@@ -19,6 +19,7 @@ id stay rows of their own.
 
 from __future__ import annotations
 
+import gc
 import json
 import mmap
 import re
@@ -40,6 +41,8 @@ from .common import Stored, id_text
 LEXICON_WORDS = 65_536
 CACHE_WORDS = 200_000
 END = "</w>"
+_NO_MERGE = 1 << 62
+_BYTES = [bytes([b]) for b in range(256)]
 # fixed values: the vocabulary's white space and word pattern
 _SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _SPACES = f"[{_SPACE}]+"
@@ -72,27 +75,28 @@ class Vocabulary:
         letters, merges = byte_letters(), {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            merges.setdefault(ids[a] << 32 | ids[b], (rank, ids[a + b]))
+            merges.setdefault(ids[a] << 32 | ids[b], rank << 32 | ids[a + b])
         return cls(special, {i: t for t, i in [*ids.items(), *special.items()]},
                    [ids[c] for c in letters], [ids[c + END] for c in letters], merges)
 
 
 def merged(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
     """Ids of one word: merge the pair of lowest rank, leftmost first, until none is left."""
-    symbols = [vocabulary.inner[b] for b in word[:-1]] + [vocabulary.final[word[-1]]]
-    get, none = vocabulary.merges.get, (1 << 62, -1)
-    pairs = [get(a << 32 | b, none) for a, b in zip(symbols, symbols[1:])]
+    inner, get = vocabulary.inner, vocabulary.merges.get
+    symbols = [inner[b] for b in word]
+    symbols[-1] = vocabulary.final[word[-1]]
+    pairs = [get(a << 32 | b, _NO_MERGE) for a, b in zip(symbols, symbols[1:])]
     while pairs:
         best = min(pairs)
-        if best is none:
+        if best == _NO_MERGE:
             break
-        at = pairs.index(best)
-        symbols[at:at + 2] = [best[1]]
-        del pairs[at]
+        at = pairs.index(best)  # the leftmost
+        new = symbols[at] = best & 0xFFFFFFFF
+        del symbols[at + 1], pairs[at]
         if at < len(pairs):
-            pairs[at] = get(best[1] << 32 | symbols[at + 1], none)
+            pairs[at] = get(new << 32 | symbols[at + 1], _NO_MERGE)
         if at:
-            pairs[at - 1] = get(symbols[at - 1] << 32 | best[1], none)
+            pairs[at - 1] = get(symbols[at - 1] << 32 | new, _NO_MERGE)
     return tuple(symbols)
 
 
@@ -191,12 +195,13 @@ class Automaton:
     def get(self, word: bytes) -> tuple[int, ...] | None:
         """Ids of an accepted word."""
         state, number, labels, find = self.root, 0, self.labels, self.map.find
-        for i in range(len(word)):
-            arc = find(word[i:i + 1], labels + self.first[state], labels + self.first[state + 1]) - labels
+        first, outputs, targets = self.first, self.outputs, self.targets
+        for byte in word:
+            arc = find(_BYTES[byte], labels + first[state], labels + first[state + 1]) - labels
             if arc < 0:
                 return None
-            number += self.outputs[arc]
-            state = self.targets[arc]
+            number += outputs[arc]
+            state = targets[arc]
         if not self.final[state]:
             return None
         return tuple(self.ids[self.ends[number]:self.ends[number + 1]])
@@ -244,33 +249,39 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_
     return Automaton.compile([(w, merged(w, vocabulary)) for w in chosen])
 
 
+class _Known(dict):
+    """Ids of words; a word that is not there yet is looked up in the automaton, or else merged."""
+
+    def __init__(self, vocabulary: Vocabulary, automaton: Automaton):
+        super().__init__((w, (i,)) for w, i in vocabulary.special.items())
+        self.vocabulary, self.automaton, self.rare = vocabulary, automaton, []
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        raw = word.encode("utf-8", "surrogatepass")
+        ids = self.automaton.get(raw)
+        if ids is None:
+            ids = merged(raw, self.vocabulary)
+            self.rare.append(word)
+        self[word] = ids
+        return ids
+
+    def forget_rare(self) -> None:
+        for word in self.rare:
+            del self[word]
+        self.rare.clear()
+
+
 class Encoder:
     """Ids of texts, by lexicon, exact merges and a bounded memory of words."""
 
     def __init__(self, vocabulary: Vocabulary, block: bytes, cache_words: int = CACHE_WORDS):
         self.vocabulary, self.splitter, self.automaton = vocabulary, Splitter(vocabulary.special), Automaton(block)
-        self.cache_words = cache_words
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) > self.cache_words:
-            self.known.clear()
-        for word in words:
-            if word in self.vocabulary.special:
-                self.known[word] = (self.vocabulary.special[word],)
-            else:
-                raw = word.encode("utf-8", "surrogatepass")
-                ids = self.automaton.get(raw)
-                self.known[word] = merged(raw, self.vocabulary) if ids is None else ids
+        self.known, self.cache_words = _Known(vocabulary, self.automaton), cache_words
 
     def encode(self, text: str | None) -> list[int]:
-        pieces = self.splitter.pieces(text)
-        if len(self.known) > self.cache_words:
-            self.known.clear()
-        unknown = {w for w in pieces if w not in self.known}
-        if unknown:
-            self._learn(unknown)
-        return list(chain.from_iterable(map(self.known.__getitem__, pieces)))
+        if len(self.known.rare) > self.cache_words:
+            self.known.forget_rare()
+        return list(chain.from_iterable(map(self.known.__getitem__, self.splitter.pieces(text))))
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -284,6 +295,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LE
     shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), build_lexicon(docs, vocabulary, lexicon_words, text_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        gc.disable()  # nothing here forms cycles, and walking the known words again and again costs time
         parts, block = shared.value
         encoder = Encoder(Vocabulary(**parts), block)
         for batch in batches:
