@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, suffix_dedup, toxicity
+from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, quality, suffix_dedup, toxicity
 from .common import table
 
 
@@ -44,6 +44,11 @@ def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "score", (F.col("score") >= 0.5).alias("keep"), "pattern")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
@@ -85,6 +90,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_chat_formatting": op3_chat_formatting,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
