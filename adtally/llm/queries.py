@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, quality, suffix_dedup, toxicity
+from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, quality, suffix_dedup, token_counts, toxicity
 from .common import table
 
 
@@ -81,6 +81,15 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each line of each document, and of those how many lie across its ends."""
+    import public_tokenizers
+
+    ranks = token_counts.load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    done = token_counts.count_tokens(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return done.select("doc_id", "section", "begin", "end", F.col("n_tokens").cast("long").alias("n_tokens"), "n_crossing")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -95,6 +104,7 @@ QUERIES = {
     "op6_bpe_encoding": op6_bpe_encoding,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_document_fingerprints": op8_document_fingerprints,
+    "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
 
