@@ -36,7 +36,7 @@ LENGTH, GRAM, LEADING = 50, 20, 16
 HOT = 1024  # documents with one gram
 SEGMENT = 1 << 16  # strings looked at together, so that what is computed on them stays in the cache
 SAMPLE_BYTES, SAMPLE_SUFFIXES = 16 << 20, 50_000
-BUCKET_BYTES = 8 << 20  # text for a bucket of suffixes
+CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20  # text for a chunk and for a bucket of suffixes
 SMALL_SORT = 8192
 NO_ID = np.iinfo(np.int64).min
 SUFFIXES = "part int, chunk int, n_contexts int, contexts binary, n_strings int, strings binary"
@@ -229,7 +229,7 @@ def _packed(rows: np.ndarray, ids: np.ndarray) -> bytes:
     return ids.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() + rows.tobytes()
 
 
-def _unpacked(packed: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+def _unpacked(packed: bytes | pa.Buffer, n: int) -> tuple[np.ndarray, np.ndarray]:
     ids = np.ascontiguousarray(np.frombuffer(packed, np.uint8, 8 * n).reshape(8, n).T).view("<i8").ravel()
     return np.frombuffer(packed, np.uint8, offset=8 * n).reshape(n, -1) if n else np.zeros((0, 0), np.uint8), ids
 
@@ -265,7 +265,7 @@ def remove_earlier_strings(docs: DataFrame, id_col: str = "doc_id", text_col: st
     base = id_text(docs, id_col, text_col)
     total = size_in_bytes(base, "text")
     shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks, parts = chunk_count(total), max(shuffle, total // (length - gram) * 2 // RANGE_HASHES)
+    chunks, parts = chunk_count(total, CHUNK_BYTES), max(shuffle, total // (length - gram) * 2 // RANGE_HASHES)
     buckets = max(shuffle, -(-total // BUCKET_BYTES))
     splitters = np.array(sampled_splitters(base, total, buckets, length, gram), f"S{LEADING}")
     before = length - gram
@@ -298,30 +298,30 @@ def remove_earlier_strings(docs: DataFrame, id_col: str = "doc_id", text_col: st
         return pa.table({n: pa.array(c, k) for n, c, k in zip(names, columns, kinds)})
 
     def compare(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        contexts = [_unpacked(r["contexts"], r["n_contexts"]) for r in rows]
-        strings = [_unpacked(r["strings"], r["n_strings"]) for r in rows]
-        answers = [b""] * len(rows)
-        held = [c for c in contexts if len(c[1])]
-        if held:
-            bits = earlier_strings(np.concatenate([c[0] for c in held]), np.concatenate([c[1] for c in held]), length, gram)
+        n_contexts, n_strings = (table.column(c).to_pylist() for c in ("n_contexts", "n_strings"))
+        answers = [b""] * len(table)
+
+        def joined(name: str, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+            pieces = [_unpacked(x.as_buffer(), n) for x, n in zip(table.column(name), sizes) if n]
+            return np.concatenate([p[0] for p in pieces]), np.concatenate([p[1] for p in pieces])
+
+        def add(sizes: list[int], values: np.ndarray) -> None:
             at = 0
-            for i, c in enumerate(contexts):
-                answers[i] = bits[at:at + len(c[1])].astype("<u8").tobytes()
-                at += len(c[1])
-        held = [s for s in strings if len(s[1])]
-        if held:
-            every, ids = np.concatenate([s[0] for s in held]), np.concatenate([s[1] for s in held])
+            for i, n in enumerate(sizes):
+                answers[i] += values[at:at + n].tobytes()
+                at += n
+
+        if any(n_contexts):
+            add(n_contexts, earlier_strings(*joined("contexts", n_contexts), length, gram).astype("<u8"))
+        if any(n_strings):
+            every, ids = joined("strings", n_strings)
             order = multikey_quicksort(words_of(every))
             starts = np.flatnonzero(common_prefixes(every, order) < length)
             least = np.minimum.reduceat(ids[order], starts)
             earlier = np.zeros(len(ids), np.uint8)
             earlier[order] = ids[order] > np.repeat(least, np.diff(np.append(starts, len(order))))
-            at = 0
-            for i, s in enumerate(strings):
-                answers[i] += earlier[at:at + len(s[1])].tobytes()
-                at += len(s[1])
-        return pa.table({"chunk": table.column("chunk"), "part": pa.array([-1 - r["part"] for r in rows], pa.int32()),
+            add(n_strings, earlier)
+        return pa.table({"chunk": table.column("chunk"), "part": pa.array([-1 - p for p in table.column("part").to_pylist()], pa.int32()),
                          "answer": pa.array(answers, pa.binary())})
 
     suffixes = dealt.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(send_suffixes, SUFFIXES)
