@@ -30,7 +30,7 @@ from itertools import repeat
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, size_in_bytes
@@ -215,6 +215,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     return parts[0] if blocks == 1 else _merged(keyed, parts)
 
 
+def contaminated() -> Column:
+    """The rule: any hit word, and one in twenty of a document's words or more."""
+    return (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+
+
 def _merged(keyed: DataFrame, parts: list[DataFrame]) -> DataFrame:
     """Unite the hits that several blocks of items found in a document."""
     rows = parts[0]

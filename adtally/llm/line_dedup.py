@@ -24,10 +24,10 @@ from pyspark.sql import functions as F
 WINDOW = 3
 
 
-def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _keyed(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
-                       F.xxhash64(text).alias("text_hash"))
+                       F.xxhash64(text).alias("text_hash"), *more)
 
 
 def _windows(keyed: DataFrame, size: int) -> DataFrame:
@@ -58,8 +58,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
-    """(doc_id, text, n_lines, n_removed, kept_text): every input row with the lines that stay."""
-    keyed = _keyed(docs, id_col, text_col)
+    """(doc_id, text, n_lines, n_removed, kept_text, row): every input row, whole in ``row``, with the lines that stay."""
+    keyed = _keyed(docs, id_col, text_col, F.struct("*").alias("row"))
     found = repeated_lines(docs, id_col, text_col, size).select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"), "starts")
     lines = F.split("text", "\n", -1)
@@ -67,7 +67,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "starts", lambda s: F.sequence(s, s + F.lit(size - 1)))))
     joined = (keyed.join(found, F.col("doc_id").eqNullSafe(F.col("found_id"))
                          & F.col("text_hash").eqNullSafe(F.col("found_hash")), "left")
-              .select("doc_id", "text", "starts", F.when(F.col("starts").isNotNull(), lines).alias("cut"),
+              .select("doc_id", "text", "row", "starts", F.when(F.col("starts").isNotNull(), lines).alias("cut"),
                       F.when(F.col("text").isNull(), F.lit(0)).otherwise(
                           F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).alias("n_lines"))
               .withColumn("covered", covered))
@@ -76,4 +76,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         "doc_id", "text", F.col("n_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("covered"), F.lit(0)).cast("long").alias("n_removed"),
         F.when(F.col("starts").isNull(), F.col("text")).otherwise(
-            F.array_join(F.transform(kept, lambda i: F.get(F.col("cut"), i)), "\n")).alias("kept_text"))
+            F.array_join(F.transform(kept, lambda i: F.get(F.col("cut"), i)), "\n")).alias("kept_text"), "row")

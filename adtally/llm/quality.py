@@ -211,3 +211,17 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """(doc_id, score, pattern) of every document by a model trained on ``docs`` itself."""
     base = id_text(docs, id_col, text_col)
     return score(base, train(base))
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores ``threshold`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(id_text(docs, id_col, text_col))["weights"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = TokenWeights(shared.value)
+        for batch in batches:
+            seen = [measures(text or "") for text in batch.column(text_col).to_pylist()]
+            odds = np.log(threshold) - np.log1p(-threshold)
+            yield batch.filter(pa.array([bool(words) and known.logit(words, shares) >= odds for words, shares in seen], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -68,7 +68,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return done.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-        ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
+        decontamination.contaminated().alias("contaminated"))
 
 
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,23 +1,74 @@
-"""Corpus pipeline: the stages run one after another over the documents."""
+"""Corpus pipeline over ``documents``: the stages run one after another, each on what its predecessor kept.
+
+1. quality classifier: documents that score under one half go;
+2. line dedup: later occurrences of repeated three-line windows go; a document of which no line is left goes;
+3. n-gram Jaccard join (five words, 0.8): of each group the document with the smallest id stays;
+4. benchmark decontamination: contaminated documents go;
+5. BPE encoding and decoding: ids and decoded text of every document that is left.
+
+All stages but the last return the columns of their input. Null texts are empty and leave with stage 1;
+rows with a null id pass the stages that compare documents by id; repeated rows stay once after stage 3.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from adtally.llm import bpe, decontamination, line_dedup, ngram_join, quality
+from adtally.llm.common import Stored, table
 
-from adtally.llm import line_dedup
+ORACLE_SQL = None  # a trained model and an encoder: compared with plain versions in the tests
 
-ORACLE_SQL = None
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    done = line_dedup.dedup_lines(docs).where("n_removed < n_lines OR n_lines = 0")
+    changed = {"text": F.col("kept_text"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return done.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    linked = ngram_join.link_components(docs, size=5, percent=80)
+    spare = Stored(linked.where("component_id <> doc_id").select("doc_id").distinct(), "spare")
+    kept = docs.join(spare.df, "doc_id", "left_anti").select(*docs.columns)
+    repeated = linked.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    spoilt = Stored(found.where(decontamination.contaminated()).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "spoilt")
+    return docs.join(spoilt.df, F.col("doc_id").eqNullSafe(F.col("_id"))
+                     & F.xxhash64("text").eqNullSafe(F.col("_hash")), "left_anti").select(*docs.columns)
+
+
+def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = bpe.encode_decode(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
-STAGES = []
+STAGES = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_dedup_stage),
+    ("n-gram Jaccard join", near_duplicate_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("BPE encoding and decoding", bpe_stage),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over ``documents``; every result but the last is written and read again."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for name, stage in STAGES[:-1]:
+        after = Stored(stage(spark, docs, sf_dir), "stage")
+        if before is not None:
+            before.drop()
+        docs, before = after.df, after
+    return STAGES[-1][1](spark, docs, sf_dir)
