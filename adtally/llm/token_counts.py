@@ -133,7 +133,7 @@ def count_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col:
                         begins, ends = point_at[shown[0]], point_at[shown[1]]
                         numbers = [s["section"] for s in given]
                     counts, crossing = allocate(token_ends, begins, ends, rule)
-                    gap = counts[-1] > 0 or not numbers
+                    gap = int(counts[-1] > 0 or not numbers)
                     n = len(numbers) + gap
                     columns[0] += [doc] * n
                     columns[1] += numbers + [None] * gap
