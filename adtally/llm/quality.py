@@ -97,11 +97,21 @@ def _bucket(feature: str) -> int:
     return crc32(feature.encode("utf-8", "surrogatepass")) & (BUCKETS - 1)
 
 
-def token_features(token: str) -> list[int]:
-    """Shape (letters as A or a, digits as 0, runs cut to two), ending and beginning of a token."""
-    shape = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
-    shape = re.sub(r"(.)\1\1+", r"\1\1", shape)[:12]
-    return [_bucket("s" + shape), _bucket("e" + token[-3:]), _bucket("b" + token[:3].lower())]
+def shape(token: str) -> str:
+    """Letters as A or a, digits as 0, runs cut to two, twelve characters at most."""
+    core = token.rstrip(".,;:!?")
+    if core.isalpha():  # most tokens: a word, perhaps with a mark
+        if core.islower():
+            return "aa"[:len(core)] + token[len(core):][:2]
+        if core[1:].islower() and core[0].isupper():
+            return "Aaa"[:len(core)] + token[len(core):][:2]
+    cut = "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in token)
+    return re.sub(r"(.)\1\1+", r"\1\1", cut)[:12]
+
+
+def token_features(token: str) -> tuple[str, str, str]:
+    """Shape, ending and beginning of a token."""
+    return "s" + shape(token), "e" + token[-3:], "b" + token[:3].lower()
 
 
 def share_features(shares: list[float]) -> list[int]:
@@ -112,26 +122,40 @@ def share_features(shares: list[float]) -> list[int]:
 def hashed(words: list[str], shares: list[float]) -> tuple[np.ndarray, np.ndarray]:
     """Sparse features of a text (buckets, values): the mean over its tokens, and its shares' steps."""
     kinds, counts = np.unique(np.array(words, object), return_counts=True) if words else ([], np.zeros(0))
-    at = [b for w in kinds for b in token_features(w)] + share_features(shares)
+    at = [_bucket(f) for w in kinds for f in token_features(w)] + share_features(shares)
     buckets, inverse = np.unique(np.array(at), return_inverse=True)
     values = np.concatenate([np.repeat(counts / max(1, len(words)), 3), np.ones(len(shares) + 1)])
     return buckets, np.bincount(inverse, values)
 
 
+class _FeatureWeights(dict):
+    """Weight of each feature met."""
+
+    def __init__(self, weights: np.ndarray):
+        super().__init__()
+        self.weights = weights
+
+    def __missing__(self, feature: str) -> float:
+        found = self[feature] = float(self.weights[_bucket(feature)])
+        return found
+
+
 class TokenWeights(dict):
     """The summed weight of each token's features, kept for the tokens met lately."""
 
     def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights = weights
+        self.weights, self.parts = weights, _FeatureWeights(weights)
 
     def __missing__(self, token: str) -> float:
-        found = self[token] = float(self.weights[token_features(token)].sum())
+        found = self[token] = sum(map(self.parts.__getitem__, token_features(token)))
         return found
 
     def logit(self, words: list[str], shares: list[float]) -> float:
         if len(self) > CACHE_TOKENS:
             self.clear()
+        if len(self.parts) > CACHE_TOKENS:
+            self.parts.clear()
         return sum(map(self.__getitem__, words)) / max(1, len(words)) + float(self.weights[share_features(shares)].sum())
 
 
