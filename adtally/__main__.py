@@ -2,6 +2,7 @@
 
     python -m adtally list                                   # registered queries
     python -m adtally build --sf-dir DIR [--root PATH]       # staging + marts + tests + charts, written
+    python -m adtally build --raw EVENTS PUBLISHERS CAMPAIGNS UNITS [--root PATH]   # the same over production tables
     python -m adtally test  --sf-dir DIR                     # the 35 data tests; exit 1 if any fails
     python -m adtally run NAME --sf-dir DIR [--out PATH] [--show N]
 
@@ -15,7 +16,8 @@ import argparse
 import sys
 
 from adtally import catalog
-from adtally.session import get_spark
+from adtally.session import get_spark, size_for_input
+from adtally.sources.registry import RAW_TABLES, from_tables
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -24,7 +26,11 @@ def main(argv: list[str] | None = None) -> int:
     sub.add_parser("list")
     for name in ("build", "test", "run"):
         p = sub.add_parser(name)
-        p.add_argument("--sf-dir", required=True)
+        where = p.add_mutually_exclusive_group(required=True)
+        where.add_argument("--sf-dir", help="folder of test tables")
+        if name == "build":
+            where.add_argument("--raw", nargs=4, metavar=("EVENTS", "PUBLISHERS", "CAMPAIGNS", "UNITS"),
+                               help="production raw tables (Parquet paths)")
         p.add_argument("--master", default=None)
         if name == "build":
             p.add_argument("--root", default=None)
@@ -40,7 +46,11 @@ def main(argv: list[str] | None = None) -> int:
     spark = get_spark(args.master)
     if args.cmd == "build":
         from adtally.plans import pipeline
-        for name, path in pipeline.run_build(spark, args.sf_dir, root=args.root).items():
+        raw = None
+        if args.raw:
+            size_for_input(spark, args.raw)
+            raw = from_tables(spark, dict(zip(RAW_TABLES, args.raw)))
+        for name, path in pipeline.run_build(spark, args.sf_dir, root=args.root, raw=raw).items():
             print(f"{name}\t{path}")
         return 0
     if args.cmd == "test":

@@ -1,7 +1,8 @@
 """Catalog of every registered query: name -> function of the model DAG.
 
-Each entry takes a ``Models`` (bound to raw tables) and returns a lazy DataFrame. The
-``__spark_entry__`` contract wraps them as ``(spark, sf_dir) -> DataFrame``.
+Each entry takes a ``Models`` and returns a lazy DataFrame. Models, profiling of raw rows and maintenance work on the
+stored raw tables; charts, data tests, KPIs and detectors (``STORED``) read the stored staging and
+mart tables. Both are written on first use of a source version. The ``__spark_entry__`` contract wraps them as ``(spark, sf_dir) -> DataFrame``.
 """
 
 from __future__ import annotations
@@ -12,48 +13,67 @@ from pyspark.sql import DataFrame, SparkSession
 
 from adtally.plans import charts
 from adtally.plans.models import Models
-from adtally.sources.load import load_testdata
+from adtally.plans.pipeline import build_marts
+from adtally.session import delete_path, file_listing, scratch_path
+from adtally.sources.load import load_raw
+from adtally.sources.registry import from_testdata
 
 QueryFn = Callable[[Models], DataFrame]
 
 CATALOG: dict[str, QueryFn] = {}
-# queries whose result is defined by Spark's own random stream: no cross-engine SQL oracle,
-# checked against brute force in tests/ instead
-NO_ORACLE = ("replay_sample",)
+# consumers that read the stored staging and mart tables instead of rebuilding them from raw
+STORED: set[str] = set()
 
 
-def register(name: str) -> Callable[[QueryFn], QueryFn]:
+def register(name: str, stored: bool = False) -> Callable[[QueryFn], QueryFn]:
     def deco(fn: QueryFn) -> QueryFn:
         if name in CATALOG:
             raise ValueError(f"duplicate query name {name}")
         CATALOG[name] = fn
+        if stored:
+            STORED.add(name)
         return fn
     return deco
 
 
-_MODELS: dict[tuple[str, str, int], Models] = {}
+SOURCES = ("events", "nation", "part")
+_MODELS: dict[tuple[str, str, str], Models] = {}
+_ROOTS: dict[tuple[str, str, str], tuple[tuple, str]] = {}
 
 
-def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """Model DAG over ``sf_dir``, reused per session.
+def _bound(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], Models]) -> Models:
+    """Models of one kind over ``sf_dir``, built once for each version of the source files.
 
-    The first call runs the raw load step (derive the raw tables from ``sf_dir`` and store
-    them in the shared folder, events bucketed by event_id); every query then reads those
-    tables. Only the loaded tables and analysed plans are shared, never query results.
+    The version is the listing (names, sizes, times) of the source files: after an append or a rewrite
+    the tables are built again and the old ones deleted. Only stored tables are shared, no query results.
     """
-    key = (spark.sparkContext.applicationId, sf_dir, id(spark))
-    m = _MODELS.get(key)
-    if m is None:
-        m = Models(load_testdata(spark, sf_dir))
-        m.sf_dir = sf_dir  # streaming queries re-read the source files as a stream
-        _MODELS[key] = m
-    return m
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    version = tuple(f for t in SOURCES for f in file_listing(spark, f"{sf_dir}/{t}.parquet"))
+    if key not in _ROOTS or _ROOTS[key][0] != version:
+        if key in _ROOTS:
+            delete_path(spark, _ROOTS[key][1])
+        root = scratch_path(spark, kind)
+        _MODELS[key] = build(root)
+        _MODELS[key].sf_dir = sf_dir  # streaming queries re-read the source files as a stream
+        _ROOTS[key] = (version, root)
+    return _MODELS[key]
+
+
+def models_for(spark: SparkSession, sf_dir: str) -> Models:
+    """Lazy model DAG over the stored raw tables (the first call of a source version runs the raw load)."""
+    return _bound(spark, sf_dir, "raw", lambda root: Models(load_raw(spark, from_testdata(spark, sf_dir), root)))
+
+
+def marts_for(spark: SparkSession, sf_dir: str) -> Models:
+    """Models bound to stored staging and mart tables (the first call of a source version builds them)."""
+    raw = models_for(spark, sf_dir).raw
+    return _bound(spark, sf_dir, "marts", lambda root: build_marts(raw, root))
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name in STREAMS:  # streams read the event files themselves, no raw load needed
         return STREAMS[name](spark, sf_dir)
-    return CATALOG[name](models_for(spark, sf_dir))
+    return CATALOG[name](marts_for(spark, sf_dir) if name in STORED else models_for(spark, sf_dir))
 
 
 # ---- sources / staging / marts ------------------------------------------------------------
@@ -64,9 +84,9 @@ for _name in ("stg_ad_events", "stg_publishers", "stg_campaigns", "stg_ad_units"
     register(_name)(lambda m, _n=_name: m.model(_n))
 
 # ---- dashboard ----------------------------------------------------------------------------
-register("chart_revenue_top5")(charts.chart_revenue_top5)
-register("chart_fill_rate")(charts.chart_fill_rate)
-register("chart_click_fraud_risk")(charts.chart_click_fraud_risk)
+register("chart_revenue_top5", stored=True)(charts.chart_revenue_top5)
+register("chart_fill_rate", stored=True)(charts.chart_fill_rate)
+register("chart_click_fraud_risk", stored=True)(charts.chart_click_fraud_risk)
 register("inventory_snapshot")(charts.inventory_snapshot)
 
 # ---- data tests -----------------------------------------------------------------------------
@@ -75,26 +95,27 @@ from adtally.plans import anomalies, profiling, quality, timeseries  # noqa: E40
 for _name in ("test_unique", "test_not_null", "test_accepted_values", "test_relationships",
               "test_suspicious_ctr", "data_test_results", "test_expectations", "test_freshness",
               "test_negative_revenue", "quality_scorecard"):
-    register(_name)(getattr(quality, _name))
+    register(_name, stored=True)(getattr(quality, _name))
 
 # ---- profiling ------------------------------------------------------------------------------
 for _name in ("dup_event_ids", "duplicate_rate", "duplicate_nature", "ctr_by_publisher_domain",
               "negative_revenue_scale", "null_pattern", "revenue_by_fill_and_type",
               "negative_revenue_events", "revenue_by_event_type", "time_coverage", "top_domains",
               "daily_volume", "table_row_counts", "network_fill_rate", "revenue_concentration",
-              "revenue_unit_economics", "replay_sample"):
-    register(_name)(getattr(profiling, _name))
+              "revenue_unit_economics", "replay_sample", "preview"):
+    register(_name, stored=_name in ("network_fill_rate", "revenue_concentration", "table_row_counts", "preview"))(
+        getattr(profiling, _name))
 
 # ---- seeded-condition detectors ---------------------------------------------------------------
 for _name in ("country_case_anomalies", "domain_mismatch", "future_events", "orphan_campaign_events",
               "out_of_flight_delivery", "traffic_bursts", "ad_unit_mismatch", "advertiser_mismatch",
               "targeting_violations", "inactive_unit_events", "below_floor_events", "suspicious_flag_static"):
-    register(_name)(getattr(anomalies, _name))
+    register(_name, stored=True)(getattr(anomalies, _name))
 
 # ---- time series / extensions -----------------------------------------------------------------
 for _name in ("publishers_scd2", "rolling_7d_metrics", "rolling_30d_metrics", "device_performance",
               "geo_revenue", "valid_vs_total_traffic", "dim_dates", "publisher_cohorts"):
-    register(_name)(getattr(timeseries, _name))
+    register(_name, stored=True)(getattr(timeseries, _name))
 
 # ---- materialisation / incremental / retention ------------------------------------------------
 from adtally.plans import incremental  # noqa: E402

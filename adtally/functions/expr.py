@@ -3,7 +3,7 @@
 All are built-in Spark expressions, so they stay inside whole-stage codegen.
 
 Rounding: ``round`` on a double rounds the binary value, which disagrees between engines
-on exact ties. ``round_half_up`` first snaps the double to ``decimal(18,10)`` and then rounds
+on exact ties. ``round_half_up`` first snaps the double to ``decimal(38,10)`` and then rounds
 the exact decimal HALF_UP, which is deterministic and portable (the oracle uses the same
 text). Results are returned as double, matching the reference's Float64 percentages.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SNAP = "decimal(18,10)"
+SNAP = "decimal(38,10)"
 
 
 def col(c: Column | str) -> Column:

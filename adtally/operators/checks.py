@@ -9,9 +9,9 @@ warehouse test definitions:
 * ``relationships``    child rows whose non-NULL key has no parent row
 
 ``summarize`` turns many such tests into one result table (model, column_name, test,
-failures, passed). All unique / not_null / accepted_values tests run in one scan per model
-and two hash aggregates over the union of unpivoted (test, value) pairs (partial
-aggregation first, so a hot value does not concentrate rows); relationships is a
+failures, passed). No row is multiplied: not_null tests are conditional counts, accepted_values tests look at
+the distinct values of few-valued columns, unique tests count by value in its own type, all with partial
+aggregation first, so a hot value does not concentrate rows; relationships is a
 left-anti join against the parent keys (broadcast by Spark only when the parent's size is
 under the threshold, sort-merge otherwise).
 """
@@ -71,54 +71,44 @@ def failing_rows(spec: TestSpec, models) -> DataFrame:
     raise ValueError(f"unknown test {spec.test}")
 
 
-def _sql_str(value) -> str:
-    return "'" + str(value).replace("'", "''") + "'"
+def _null_failures(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFrame:
+    """(t, failures) of not_null tests: one conditional count per column, no shuffle of rows."""
+    counts = df.agg(*[F.count_if(F.col(s.column).isNull()).alias(f"t{i}") for i, s in tests])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(i).alias("t"), F.col(f"t{i}").alias("failures")) for i, _ in tests])))
 
 
-def _unpivot(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> tuple[DataFrame, list[str]]:
-    """One ``(t, v)`` row per input row and test (``v`` = the value as text, or for not_null
-    just NULL / ''), plus the SQL that turns a ``(t, v, n)`` count into failures of test t.
-    The expressions are SQL text so the JVM parses each one once (no per-node py4j calls)."""
-    entries, cases = [], []
-    for i, s in tests:
-        c = f"`{s.column}`"
-        if s.test == "not_null":
-            entries.append(f"named_struct('t', {i}, 'v', CASE WHEN {c} IS NULL THEN CAST(NULL AS STRING) ELSE '' END)")
-            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NULL THEN n ELSE 0 END")
-        elif s.test == "unique":
-            entries.append(f"named_struct('t', {i}, 'v', CAST({c} AS STRING))")
-            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NOT NULL AND n > 1 THEN 1 ELSE 0 END")
-        else:
-            allowed = ", ".join(_sql_str(x) for x in s.values)
-            entries.append(f"named_struct('t', {i}, 'v', CAST({c} AS STRING))")
-            cases.append(f"WHEN t = {i} THEN CASE WHEN v IS NOT NULL AND v NOT IN ({allowed}) THEN 1 ELSE 0 END")
-    return df.selectExpr(f"inline(array({', '.join(entries)}))"), cases
+def _unique_failures(df: DataFrame, i: int, column: str) -> DataFrame:
+    """(t, failures) of a unique test: a count per value in the column's own type."""
+    return unique(df, column).agg(F.lit(i).alias("t"), F.count(F.lit(1)).alias("failures"))
 
 
-def _column_test_failures(parts: Sequence[tuple[DataFrame, Sequence[tuple[int, TestSpec]]]]) -> DataFrame:
-    """All unique / not_null / accepted_values tests of all models on two shuffles.
+def _value_failures(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> DataFrame:
+    """(t, failures) of accepted_values tests: the distinct combinations of their few-valued columns, then
+    the distinct values outside each list."""
+    combined = df.select(*dict.fromkeys(s.column for _, s in tests)).distinct()
+    wrong = F.array_compact(F.array(*[
+        F.when(~F.col(s.column).isin(list(s.values)), F.struct(F.lit(i).alias("t"), F.col(s.column).cast("string").alias("v")))
+        for i, s in tests]))
+    return combined.select(F.inline(wrong)).distinct().groupBy("t").agg(F.count(F.lit(1)).alias("failures"))
 
-    The unpivoted ``(t, v)`` rows of every model are unioned, counted per ``(t, v)`` (partial
-    aggregation per task first), and the failures summed per ``t`` (partial sums again, so a
-    test whose values are all distinct, like a unique id, never funnels rows into one task).
-    """
-    longs, cases = [], []
-    for df, tests in parts:
-        long, c = _unpivot(df, tests)
-        longs.append(long)
-        cases += c
-    rows = longs[0]
-    for other in longs[1:]:
-        rows = rows.unionByName(other)
-    counts = rows.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
-    return counts.groupBy("t").agg(F.expr(f"CAST(sum(CASE {' '.join(cases)} ELSE 0 END) AS BIGINT)").alias("failures"))
+
+def _column_test_failures(df: DataFrame, tests: Sequence[tuple[int, TestSpec]]) -> list[DataFrame]:
+    """(t, failures) relations for the unique / not_null / accepted_values tests of one model."""
+    by_kind = {kind: [(i, s) for i, s in tests if s.test == kind] for kind in ("unique", "not_null", "accepted_values")}
+    out = [_unique_failures(df, i, s.column) for i, s in by_kind["unique"]]
+    if by_kind["not_null"]:
+        out.append(_null_failures(df, by_kind["not_null"]))
+    if by_kind["accepted_values"]:
+        out.append(_value_failures(df, by_kind["accepted_values"]))
+    return out
 
 
 def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
     """One result row per test ``(model, column_name, test, failures, passed)``.
 
-    Column tests of all models share one unpivot + two aggregates (``_column_test_failures``);
-    relationships are one left-anti join each. A test whose model is empty reports 0 failures.
+    Each model needs one aggregate for its not_null tests, one over few-valued columns for its accepted_values
+    tests and one count per unique column; relationships are one left-anti join each. A test whose model
+    is empty reports 0 failures.
     """
     specs = list(specs)
     per_model: dict[str, list[tuple[int, TestSpec]]] = {}
@@ -131,8 +121,8 @@ def summarize(specs: Iterable[TestSpec], models) -> DataFrame:
             per_model.setdefault(s.model, []).append((i, s))
         else:
             raise ValueError(f"unknown test {s.test}")
-    if per_model:
-        parts.append(_column_test_failures([(models.model(m), tests) for m, tests in per_model.items()]))
+    for name, tests in per_model.items():
+        parts += _column_test_failures(models.model(name), tests)
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)

@@ -7,10 +7,10 @@ which loses late rows and is pushed past real days by future-dated events):
    older version of such an event (a retry may move an event to another day);
 2. recompute the fact for exactly those dates from all versions of the events that have
    any version on a touched date (so dedup still sees every copy);
-3. overwrite only those ``event_date`` partitions (dynamic partition overwrite).
+3. overwrite only those ``event_date`` partitions, and drop touched dates that have no rows any more.
 
-The touched-date set is bounded by the calendar span of the data (a few thousand rows at
-most), so it is broadcast; the candidate-id semi-join is a regular shuffle join.
+Before the id join every map task keeps one row per (id, date) or the newest version per id, so a hot
+retried id is a few rows. Joins carry no hints: Spark broadcasts a side only under its size threshold.
 """
 
 from __future__ import annotations
@@ -42,13 +42,14 @@ def touched_dates(raw_events: DataFrame, since: dt.datetime) -> DataFrame:
     new_dates = new.select(F.to_date("event_timestamp").alias("event_date"))
     # distinct ids (combined map-side) so a hot retried id is one build-side row
     older = (raw_events.filter(F.col("_loaded_at") <= _ts(since))
+             .select("event_id", F.to_date("event_timestamp").alias("event_date")).distinct()
              .join(new.select("event_id").distinct(), "event_id", "left_semi")
-             .select(F.to_date("event_timestamp").alias("event_date")))
+             .select("event_date"))
     return new_dates.unionByName(older).distinct()
 
 
 def fct_daily_for_dates(raw: RawSources, dates: DataFrame) -> DataFrame:
-    days = F.broadcast(dates)  # bounded by the number of calendar days in the data
+    days = dates
     ev = raw.ad_events.withColumn("event_date", F.to_date("event_timestamp"))
     candidates = ev.join(days, "event_date", "left_semi").select("event_id").distinct()
     versions = raw.ad_events.join(candidates, "event_id", "left_semi")
@@ -63,8 +64,11 @@ def fct_daily_incremental(m: Models, since: dt.datetime = INCREMENTAL_SINCE) ->
 
 def update_fact_table(raw: RawSources, path: str, since: dt.datetime) -> DataFrame:
     """Apply an incremental run to a written daily-fact table at ``path``."""
-    changed = fct_daily_for_dates(raw, touched_dates(raw.ad_events, since))
-    io.write_mart("fct_ad_events_daily", changed, path, mode="overwrite")
+    touched = io.materialize("touched_dates", touched_dates(raw.ad_events, since))
+    changed = io.materialize("fct_ad_events_daily", fct_daily_for_dates(raw, touched))
+    io.replace_partitions("fct_ad_events_daily", changed, path)
+    emptied = touched.join(changed.select("event_date").distinct(), "event_date", "left_anti")
+    io.drop_dates(raw.spark, path, [r.event_date for r in emptied.collect()])  # calendar days
     return io.read_table(raw.spark, path, changed)
 
 
@@ -89,11 +93,14 @@ def retention_split(m: Models, as_of: dt.date = RETENTION_AS_OF, keep_days: int
 
 
 def archive_partitions(fact: DataFrame, archive_path: str, as_of: dt.date = RETENTION_AS_OF,
-                       keep_days: int = RETENTION_DAYS) -> None:
-    """Append fact partitions older than the retention window to ``archive_path``.
+                       keep_days: int = RETENTION_DAYS, hot_path: str | None = None) -> None:
+    """Move fact dates older than the retention window to ``archive_path``.
 
-    Reading a partitioned table with a filter on ``event_date`` prunes directories, so only
-    the old partitions are scanned.
+    Each date replaces its partition in the archive, so a repeated run changes nothing. With ``hot_path``
+    (where ``fact`` is stored) the moved dates are then dropped there; without it they are copied.
     """
     old = fact.filter(retention_tier(F.col("event_date"), as_of, keep_days) == "archive")
-    io.write_mart("fct_ad_events_daily", old, archive_path, mode="append")
+    dates = [r.event_date for r in old.select("event_date").distinct().collect()]  # calendar days
+    io.replace_partitions("fct_ad_events_daily", old, archive_path)
+    if hot_path:
+        io.drop_dates(fact.sparkSession, hot_path, dates)

@@ -8,8 +8,8 @@
 
 Nothing runs until an action. Consumers (charts, data tests, profiling) take models from
 here, so a chart over ``fct_publisher_performance`` uses the daily fact as its
-pre-aggregation, exactly like the reference. ``Models.from_marts`` binds the same names to
-already written mart tables (see ``sources/io.py``) for dashboards that read tables.
+pre-aggregation, exactly like the reference. ``overrides`` bind names to
+already written tables, as ``plans/pipeline.build_marts`` does.
 """
 
 from __future__ import annotations
@@ -22,10 +22,6 @@ from pyspark.sql import DataFrame
 from adtally.plans import marts, staging
 from adtally.sources.registry import RawSources
 
-MART_NAMES = ("fct_ad_events_daily", "fct_publisher_performance", "dim_publishers",
-              "dim_campaigns", "dim_ad_units")
-
-
 class Models:
     def __init__(self, raw: RawSources | None,
                  suspicious_ids: Iterable[int] | None = staging.SUSPICIOUS_PUBLISHER_IDS,
@@ -35,10 +31,6 @@ class Models:
         for name, df in (overrides or {}).items():
             self.__dict__[name] = df  # pre-seed cached_property slots
 
-    @classmethod
-    def from_marts(cls, tables: dict[str, DataFrame], raw: RawSources | None = None) -> "Models":
-        return cls(raw, overrides=tables)
-
     # ---- staging -------------------------------------------------------------------------
     @cached_property
     def stg_ad_events(self) -> DataFrame:

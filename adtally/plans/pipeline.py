@@ -36,7 +36,7 @@ def build_marts(raw: RawSources, root: str) -> Models:
     return Models(raw, overrides=written)
 
 
-def run_build(spark: SparkSession, sf_dir: str, root: str | None = None,
+def run_build(spark: SparkSession, sf_dir: str | None, root: str | None = None,
               raw: RawSources | None = None) -> dict[str, str]:
     """Full run: marts, the 35 data tests and the dashboard charts, all written.
 

@@ -36,13 +36,16 @@ def duplicate_rate(m: Models, alert_pct: float = DUPLICATE_ALERT_PCT) -> DataFra
 
 
 def duplicate_nature(m: Models) -> DataFrame:
-    """for each duplicated id, how many distinct timestamps / revenues / load times."""
-    return (m.raw.ad_events.groupBy("event_id").agg(
-                F.count(F.lit(1)).alias("cnt"),
-                F.count_distinct("event_timestamp").alias("distinct_timestamps"),
-                F.count_distinct("revenue_usd").alias("distinct_revenues"),
-                F.count_distinct("_loaded_at").alias("distinct_load_times"))
-            .filter(F.col("cnt") > 1))
+    """for each duplicated id, how many distinct timestamps / revenues / load times.
+
+    The few repeated ids are found first; only their rows are expanded for the distinct counts.
+    """
+    repeated = m.raw.ad_events.join(dup_event_ids(m).select("event_id"), "event_id", "left_semi")
+    return repeated.groupBy("event_id").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.count_distinct("event_timestamp").alias("distinct_timestamps"),
+        F.count_distinct("revenue_usd").alias("distinct_revenues"),
+        F.count_distinct("_loaded_at").alias("distinct_load_times"))
 
 
 def ctr_by_publisher_domain(m: Models, k: int = 20) -> DataFrame:
@@ -188,10 +191,18 @@ def revenue_unit_economics(m: Models) -> DataFrame:
 
 
 def replay_sample(m: Models, n: int = 2000, seed: int = 42) -> DataFrame:
-    """H6: ``n`` raw rows in random order (the random-order limit used to pick a replay
-    batch). ``orderBy(rand(seed)).limit(n)`` plans as a per-task top-n, never a global sort;
-    deterministic for a fixed seed and input layout. Not SQL-reproducible across engines
-    (each engine has its own random stream), so it is checked against brute force in tests.
+    """H6: ``n`` raw rows in random order (the random-order limit that picks a replay batch).
+
+    The order is a digest of seed, event id and load time, so it depends on the rows alone, not on
+    files or tasks. Planned as a top-n per task, never a global sort.
     """
-    return (m.raw.ad_events.withColumn("__r", F.rand(seed))
-            .orderBy("__r").limit(n).drop("__r"))
+    loaded = F.date_format("_loaded_at", "yyyy-MM-dd HH:mm:ss")
+    draw = F.md5(F.concat_ws("/", F.lit(str(seed)), F.col("event_id"), loaded))
+    return (m.raw.ad_events.withColumn("__draw", draw)
+            .orderBy("__draw", "event_id", "_loaded_at").limit(n).drop("__draw"))
+
+
+def preview(m: Models, name: str = "fct_ad_events_daily", n: int = 5) -> DataFrame:
+    """the first ``n`` rows of a model by its leading columns."""
+    df = m.model(name)
+    return df.orderBy(*df.columns[:7]).limit(n)

@@ -59,6 +59,7 @@ COLUMN_TESTS: tuple[TestSpec, ...] = (
     TestSpec("fct_publisher_performance", "event_date", "not_null"),
     TestSpec("fct_publisher_performance", "publisher_id", "not_null"),
 )
+SINGULAR_TEST = "suspicious_ctr_check"
 SINGULAR_CTR_THRESHOLD = 100  # percent; clicks cannot exceed impressions
 # ---- end fixed values --------------------------------------------------------------------
 
@@ -103,7 +104,7 @@ def test_suspicious_ctr(m: Models, threshold: float = SINGULAR_CTR_THRESHOLD) ->
 def singular_result(m: Models) -> DataFrame:
     return test_suspicious_ctr(m).agg(F.count(F.lit(1)).alias("failures")).select(
         F.lit("stg_ad_events").alias("model"), F.lit("").alias("column_name"),
-        F.lit("ctr_above_100").alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
+        F.lit(SINGULAR_TEST).alias("test"), "failures", (F.col("failures") == 0).alias("passed"))
 
 
 def data_test_results(m: Models) -> DataFrame:
@@ -138,16 +139,22 @@ def test_expectations(m: Models, lo: float = 0.0, hi: float = 100.0,
 
 def test_freshness(m: Models, as_of: dt.datetime = dt.datetime(2024, 1, 31),
                    warn_hours: int = 24, error_hours: int = 48) -> DataFrame:
-    """Source freshness: age of the newest load versus warn / error SLAs (hours)."""
+    """Source freshness: age of the newest load up to ``as_of`` versus warn / error SLAs (hours).
+
+    Loads after ``as_of`` do not count for the age; they have a status of their own.
+    """
     as_of_lit = F.lit(as_of).cast("timestamp_ntz")
-    latest = m.raw.ad_events.agg(F.max("_loaded_at").alias("max_loaded_at"))
+    future = F.col("_loaded_at") > as_of_lit
+    latest = m.raw.ad_events.agg(F.max(F.when(~future, F.col("_loaded_at"))).alias("max_loaded_at"),
+                                 F.count_if(future).alias("future_loads"))
     age = (F.unix_timestamp(as_of_lit.cast("timestamp")) -
            F.unix_timestamp(F.col("max_loaded_at").cast("timestamp"))) / F.lit(3600.0)
     return latest.select(
         F.lit("ad_events").alias("source"), "max_loaded_at",
         round_half_up(age, 2).alias("age_hours"),
-        F.when(age > error_hours, F.lit("error")).when(age > warn_hours, F.lit("warn"))
-         .otherwise(F.lit("pass")).alias("status"))
+        F.when(age.isNull() | (age > error_hours), F.lit("error")).when(age > warn_hours, F.lit("warn"))
+         .otherwise(F.lit("pass")).alias("status"),
+        "future_loads", F.when(F.col("future_loads") > 0, F.lit("future_loads")).otherwise(F.lit("none")).alias("future_status"))
 
 
 def test_negative_revenue(m: Models) -> DataFrame:

@@ -3,7 +3,9 @@
 The reference seeds its raw tables with a random generator; here the same seeded conditions
 (retry copies, unfilled slots, negative revenue, orphan campaigns, a bot burst, late loads,
 casing and id mismatches) are derived by rule from ``events``, ``nation`` and ``part`` so
-that every raw table grows with the input scale. The rules are fixed values: they must stay
+that events and campaigns grow with the input scale (publishers and ad units come from the whole of
+``nation``). Three events in ten go to one campaign, one campaign in fifty is never served, and one event in 211
+names a campaign that does not exist. The rules are fixed values: they must stay
 exactly as below so Spark and the DuckDB oracle see identical inputs.
 
 Each text is a Spark SQL statement over DataFrame parameters (``{events}`` etc.), run with
@@ -32,8 +34,9 @@ typed AS (
       WHEN st = 'click' AND k < 3 THEN 'click'
       ELSE 'impression' END AS et,
     CASE WHEN k < 15 THEN NULL
-         WHEN eid % 211 = 0 THEN CAST(28 + eid % 3 AS INT)
-         ELSE CAST(1 + (eid + k) % 27 AS INT) END AS camp
+         WHEN eid % 211 = 0 THEN CAST(-1 - eid % 3 AS INT)
+         WHEN eid % 10 < 3 OR eid DIV 5 % 50 = 49 THEN 1
+         ELSE CAST(1 + eid DIV 5 AS INT) END AS camp
   FROM base),
 shaped AS (
   SELECT CAST(eid AS STRING) AS event_id, et AS event_type,
@@ -44,7 +47,7 @@ shaped AS (
     concat('site', CAST(CASE WHEN eid % 97 = 0 THEN pub % 20 + 1 ELSE pub END AS STRING), '.example') AS site_domain,
     concat('au_', CAST(CASE WHEN eid % 89 = 0 THEN pub % 20 + 1 ELSE pub END AS STRING), '_', CAST(1 + k % 3 AS STRING)) AS ad_unit_id,
     camp AS campaign_id,
-    CAST(CASE WHEN camp IS NULL THEN NULL WHEN camp > 27 THEN camp - 17
+    CAST(CASE WHEN camp IS NULL THEN NULL WHEN camp < 0 THEN 10 - camp
          WHEN eid % 151 = 0 THEN 1 + camp % 10 ELSE 1 + (camp - 1) % 10 END AS INT) AS advertiser_id,
     CASE WHEN pub = 13 AND k >= 50 THEN 'mobile' WHEN k % 9 < 3 THEN 'desktop' WHEN k % 9 < 7 THEN 'mobile' WHEN k % 9 = 7 THEN 'tablet' ELSE 'ctv' END AS device_type,
     CASE WHEN pub = 13 AND k >= 50 THEN 'BR'
@@ -94,12 +97,12 @@ RAW_CAMPAIGNS_SQL = """
 SELECT CAST(p_partkey + 1 AS INT) AS campaign_id, p_name AS campaign_name, CAST(1 + p_partkey % 10 AS INT) AS advertiser_id,
  concat('Advertiser ', CAST(1 + p_partkey % 10 AS STRING)) AS advertiser_name,
  DATE '2023-12-15' + CAST(p_partkey % 40 AS INT) AS campaign_start_date, DATE '2024-01-05' + CAST(p_partkey % 40 AS INT) AS campaign_end_date,
- CAST(CASE WHEN p_partkey = 30 THEN 0 ELSE p_retailprice END AS DECIMAL(18,2)) AS campaign_budget_usd,
+ CAST(CASE WHEN p_partkey % 31 = 30 THEN 0 ELSE p_retailprice END AS DECIMAL(18,2)) AS campaign_budget_usd,
  CASE WHEN p_partkey % 9 = 7 THEN 'completed' ELSE 'active' END AS campaign_status,
  CASE WHEN p_partkey % 3 = 0 THEN 'desktop' WHEN p_partkey % 3 = 1 THEN 'desktop,mobile' ELSE 'desktop,mobile,ctv' END AS targeting_device_types,
  CASE WHEN p_partkey % 2 = 0 THEN 'US,GB' ELSE 'US,GB,DE,FR' END AS targeting_countries,
  TIMESTAMP_NTZ '2023-12-01 00:00:00' AS created_at
-FROM {part} WHERE p_partkey < 27 OR p_partkey IN (30, 31)
+FROM {part}
 """
 
 # Three units per publisher: a generator (explode) rather than a join with a literal table.

@@ -9,18 +9,19 @@ Layout (the sort-key idea of the original tables, expressed with Spark writers):
   date across several tasks and merges tiny ones, so neither skew nor small files result;
 * dimensions are written unpartitioned.
 
-Overwrites use dynamic partition overwrite (set in ``session.REQUIRED_CONF``), so writing a
-subset of dates replaces exactly those partitions.
+A refresh replaces the whole table (static overwrite). ``replace_partitions`` replaces exactly the partitions it
+has rows for; both are writer options, so the caller's session keeps its own overwrite mode.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.session import scratch_path
+from adtally.session import delete_path, scratch_path
 
 # ---- fixed values: sort keys and partition columns per mart ------------------------------
 MART_LAYOUT: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
@@ -41,11 +42,12 @@ def with_month(df: DataFrame, date_col: str = "event_date", out: str = "event_mo
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                sort_by: Sequence[str] = (), mode: str = "overwrite") -> None:
+                sort_by: Sequence[str] = (), replace: str = "static") -> None:
+    """Write ``df`` over ``path``: ``static`` replaces the table, ``dynamic`` only the partitions with rows."""
     out = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     if partition_by or sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    writer = out.write.mode(mode)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", replace)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -56,9 +58,24 @@ def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
-def write_mart(name: str, df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_mart(name: str, df: DataFrame, path: str, by_month: bool = False) -> None:
+    """Full refresh of a mart; ``by_month`` partitions by month instead of by date."""
     part, sort = MART_LAYOUT.get(name, ((), ()))
-    write_table(df, path, part, sort, mode)
+    if by_month and part:
+        df, part = with_month(df, part[0]), ("event_month",)
+    write_table(df, path, part, sort)
+
+
+def replace_partitions(name: str, df: DataFrame, path: str) -> None:
+    """Write only the partitions that ``df`` has rows for; the others stay."""
+    part, sort = MART_LAYOUT[name]
+    write_table(df, path, part, sort, replace="dynamic")
+
+
+def drop_dates(spark: SparkSession, path: str, dates: Iterable[dt.date]) -> None:
+    """Remove the ``event_date`` partitions of the given days."""
+    for day in dates:
+        delete_path(spark, f"{path}/event_date={day.isoformat()}")
 
 
 def materialize(name: str, df: DataFrame, path: str | None = None) -> DataFrame:

@@ -18,12 +18,15 @@ re-reads files instead of re-deriving raw rows).
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adtally.session import checkpoint_root
 from adtally.sources.registry import RAW_TABLES, RawSources, from_testdata
+from adtally.sources.schemas import RAW_SCHEMAS
 
 # ---- fixed values: sort keys of the raw tables --------------------------------------------
 RAW_SORT_KEYS = {
@@ -58,6 +61,20 @@ def load_raw(spark: SparkSession, raw: RawSources, root: str | None = None) -> R
                          for name in RAW_TABLES})
 
 
+def append_batch(spark: SparkSession, batch: DataFrame, path: str, name: str = "ad_events") -> DataFrame:
+    """Append a batch of raw rows to a stored raw table, typed and sorted like its other files; read the table."""
+    schema = RAW_SCHEMAS[name]
+    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    typed.sortWithinPartitions(*RAW_SORT_KEYS[name]).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def replay_batch(sample: DataFrame, loaded_at: dt.datetime) -> DataFrame:
+    """A retry of the sampled rows: the same rows with a new load time."""
+    stamp = F.lit(loaded_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return sample.withColumn("_loaded_at", stamp)
+
+
 def load_testdata(spark: SparkSession, sf_dir: str) -> RawSources:
     """Derive the raw tables from the driver's parquet and load them (see ``load_raw``)."""
     return load_raw(spark, from_testdata(spark, sf_dir))

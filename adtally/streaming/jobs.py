@@ -1,122 +1,73 @@
 """Structured Streaming variants: CTR alerting, retry dedup and load-lag monitoring.
 
-Source: the raw event derivation runs unchanged over ``readStream`` of the events files
-(the same SQL text, so the stream and the batch models see identical rows).
-
-* ``ctr_alert_stream``   hourly tumbling windows per publisher, watermark on event time,
-  update mode; every micro-batch's updated window rows are appended to a Parquet folder
-  with their batch id, and readers keep the newest version per (window, publisher).
-  State per window is dropped once the watermark passes it.
-* ``dedup_stream``       ``dropDuplicatesWithinWatermark(event_id)`` on arrival time
-  (``_loaded_at``): retry copies arriving within the delay are dropped, state is bounded by
-  the watermark. It keeps the *first* arrival while the batch model keeps the newest load;
-  the two agree on every column except ``_loaded_at``, which this stream omits.
-* ``lag_stream``         load-lag buckets (``_loaded_at - event_timestamp``), update mode.
-
-``run_available_now`` drives a query over everything currently in the source and stops;
-results land under ``spark.checkpoint.dir`` so they survive executor loss.
+Source: the raw event derivation runs unchanged over ``readStream`` of the event files (the same SQL text, so
+the stream and the batch models see identical rows).
+
+No query keeps state or a watermark: the data holds future-dated rows, and a watermark that follows
+them would count all later rows as late and lose them. Every micro-batch is reduced on its own and written
+under its batch id, replacing what an earlier try of the same batch wrote; readers fold the
+batches. So the results equal the batch queries for any order and split of the input.
+
+* ``ctr_alert_stream``   clicks and impressions per publisher and hour; batches are summed on read.
+* ``dedup_stream``       the newest load of every event id in a batch; of several batches the newest again,
+  as the batch model does.
+* ``lag_stream``         load-lag buckets (``_loaded_at - event_timestamp``); batches are summed on read.
+
+``compact`` folds the batches of a stopped stream into one. ``run_available_now`` drives a query over
+everything currently in the source and stops; results land under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.functions.expr import pct, ratio_pct
-from adtally.operators.dedup import latest_per_key
-from adtally.session import scratch_path
+from adtally.plans.staging import dedup_events
+from adtally.session import delete_path, is_directory, scratch_path
 from adtally.sources import fixtures
 
 CTR_ALERT_PCT = 5.0  # alert when hourly CTR exceeds 5 %
-EVENT_FILES = "events*.parquet"
+COMPACTED = -1  # batch id of folded batches
 
 
 def raw_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    # a file source watches a folder; the glob keeps it to the event files
-    schema = spark.read.option("pathGlobFilter", EVENT_FILES).parquet(sf_dir).schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", EVENT_FILES)
+    """Raw events as a stream; ``events.parquet`` is a folder of part files or one file."""
+    source = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(source).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    events = reader.parquet(sf_dir)
+    if is_directory(spark, source):
+        events = reader.parquet(source)
+    else:  # a file source watches a folder; the glob keeps it to the event file
+        events = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return spark.sql(fixtures.RAW_AD_EVENTS_SPARK_SQL, events=events)
 
 
-def _event_time(col: str) -> F.Column:
-    """Watermarks need a zoned timestamp; with the UTC session the cast keeps the value."""
-    return F.col(col).cast("timestamp")
-
-
-def ctr_windows(events: DataFrame, window: str = "1 hour", watermark: str = "2 hours",
-                threshold: float = CTR_ALERT_PCT) -> DataFrame:
+# ---- hourly click-through rate ---------------------------------------------------------------
+def ctr_counts(events: DataFrame, window: str = "1 hour") -> DataFrame:
     et = F.col("event_type")
-    agg = (events.withColumn("event_time", _event_time("event_timestamp"))
-           .withWatermark("event_time", watermark)
-           .groupBy(F.window("event_time", window).alias("w"), "publisher_id")
-           .agg(F.count_if(et == "impression").alias("impressions"),
-                F.count_if(et == "click").alias("clicks")))
-    return agg.select(
-        F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"), "publisher_id",
-        "impressions", "clicks", pct("clicks", "impressions", 4).alias("ctr_pct"),
-        ((F.col("impressions") > 0) & (ratio_pct("clicks", "impressions") > threshold)).alias("is_alert"))
+    return (events.groupBy(F.window(F.col("event_timestamp").cast("timestamp"), window).alias("w"), "publisher_id")
+            .agg(F.count_if(et == "impression").alias("impressions"), F.count_if(et == "click").alias("clicks"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
+                    F.col("w.end").cast("timestamp_ntz").alias("window_end"), "publisher_id", "impressions", "clicks"))
 
 
-def _append_versions(path: str):
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(path)
-    return write
+def sum_ctr_counts(batches: DataFrame) -> DataFrame:
+    return (batches.groupBy("window_start", "window_end", "publisher_id")
+            .agg(F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks")))
 
 
-def run_available_now(query_builder, checkpoint: str, state_partitions: int | None = None) -> None:
-    """Run a query over everything available now, then stop.
-
-    Streaming plans get no AQE, so stateful stages keep the shuffle partition count the
-    query starts with (and it is fixed in the checkpoint from then on). It is set here to
-    ``state_partitions`` (default: the cluster's parallelism) only while the query starts;
-    the query runs on its own clone of the session, so the caller's setting is restored
-    right after ``start()``.
-    """
-    spark = SparkSession.getActiveSession()
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-
-
-def latest_versions(spark: SparkSession, path: str, like: DataFrame, keys: list[str]) -> DataFrame:
-    schema = like.schema.add("batch_id", "long")
-    versions = spark.read.schema(schema).parquet(path)
-    return latest_per_key(versions, keys, [F.col("batch_id").desc()]).drop("batch_id")
-
-
-def ctr_alert_stream(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
-    """Run the hourly CTR stream to the end of the available input; return its table."""
-    out = out or scratch_path(spark, "stream_ctr_alert")
-    windows = ctr_windows(raw_event_stream(spark, sf_dir))
-    run_available_now(windows.writeStream.outputMode("update").foreachBatch(_append_versions(out + "/data")),
-                      out + "/_checkpoint")
-    return latest_versions(spark, out + "/data", windows, ["window_start", "publisher_id"])
-
-
-def dedup_stream(spark: SparkSession, sf_dir: str, out: str | None = None, delay: str = "2 days") -> DataFrame:
-    """Retry-copy dedup on the stream; returns the deduplicated events (without _loaded_at)."""
-    out = out or scratch_path(spark, "stream_dedup")
-    ev = raw_event_stream(spark, sf_dir)
-    deduped = (ev.withColumn("arrival_time", _event_time("_loaded_at"))
-               .withWatermark("arrival_time", delay)
-               .dropDuplicatesWithinWatermark(["event_id"])
-               .drop("_loaded_at", "arrival_time"))
-    run_available_now(deduped.writeStream.outputMode("append").format("parquet").option("path", out + "/data"),
-                      out + "/_checkpoint")
-    return spark.read.schema(deduped.schema).parquet(out + "/data")
+def ctr_windows(counts: DataFrame, threshold: float = CTR_ALERT_PCT) -> DataFrame:
+    return counts.select(
+        "window_start", "window_end", "publisher_id", "impressions", "clicks",
+        pct("clicks", "impressions", 4).alias("ctr_pct"),
+        ((F.col("impressions") > 0) & (ratio_pct("clicks", "impressions") > threshold)).alias("is_alert"))
 
 
+# ---- load lag ----------------------------------------------------------------------------------
 def lag_bucket(events: DataFrame) -> F.Column:
     hours = (F.unix_timestamp(F.col("_loaded_at").cast("timestamp")) -
              F.unix_timestamp(F.col("event_timestamp").cast("timestamp"))) / F.lit(3600.0)
@@ -133,10 +84,64 @@ def lag_counts(events: DataFrame) -> DataFrame:
                  F.count_if(F.col("is_filled") == 1).alias("filled_rows")))
 
 
-def lag_stream(spark: SparkSession, sf_dir: str, out: str | None = None) -> DataFrame:
-    """J3 (stream): load-lag buckets maintained by an update-mode aggregation."""
-    out = out or scratch_path(spark, "stream_lag")
-    counts = lag_counts(raw_event_stream(spark, sf_dir))
-    run_available_now(counts.writeStream.outputMode("update").foreachBatch(_append_versions(out + "/data")),
-                      out + "/_checkpoint")
-    return latest_versions(spark, out + "/data", counts, ["lag_bucket"])
+def sum_lag_counts(batches: DataFrame) -> DataFrame:
+    return batches.groupBy("lag_bucket").agg(F.sum("rows").alias("rows"), F.sum("filled_rows").alias("filled_rows"))
+
+
+def newest_loads(batches: DataFrame) -> DataFrame:
+    return dedup_events(batches)
+
+
+# ---- batches on disk ---------------------------------------------------------------------------
+def reduced_batches(path: str, reduce: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: the reduced batch replaces the folder of its id, so a replay changes nothing."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    return write
+
+
+def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    if not is_directory(spark, path):  # no batch yet
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).option("basePath", path).parquet(path).select(*like.columns)
+
+
+def compact(spark: SparkSession, path: str, like: DataFrame, fold: Callable[[DataFrame], DataFrame]) -> None:
+    """Fold all batches of a stopped stream into one folder."""
+    whole = scratch_path(spark, "compacted")
+    fold(read_batches(spark, path, like)).select(*like.columns).write.parquet(whole)
+    delete_path(spark, path)
+    spark.read.schema(like.schema).parquet(whole).write.parquet(f"{path}/batch_id={COMPACTED}")
+    delete_path(spark, whole)
+
+
+def run_available_now(query_builder, checkpoint: str) -> None:
+    """Run a query over everything available now, then stop."""
+    q = query_builder.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def _run(spark: SparkSession, sf_dir: str, out: str, reduce, max_files: int | None) -> tuple[str, DataFrame]:
+    events = raw_event_stream(spark, sf_dir, max_files)
+    run_available_now(events.writeStream.foreachBatch(reduced_batches(out + "/data", reduce)), out + "/_checkpoint")
+    return out + "/data", reduce(spark.createDataFrame([], events.schema))
+
+
+def ctr_alert_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
+    """Run the hourly CTR stream to the end of the available input; return its table."""
+    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_ctr_alert"), ctr_counts, max_files)
+    return ctr_windows(sum_ctr_counts(read_batches(spark, data, like)))
+
+
+def dedup_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
+    """Retry-copy dedup on the stream; returns the deduplicated events (without _loaded_at)."""
+    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_dedup"), newest_loads, max_files)
+    return newest_loads(read_batches(spark, data, like)).drop("_loaded_at")
+
+
+def lag_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
+    """J3 (stream): load-lag buckets of everything available."""
+    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_lag"), lag_counts, max_files)
+    return sum_lag_counts(read_batches(spark, data, like))

@@ -1,6 +1,5 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
-The models are re-stated here in plain SQL, in the style of the original warehouse models,
-over the same fixture derivation the Spark side uses. Each query string is self-contained:
-the fixture and model CTEs it needs are prefixed by ``sql.build``.
+Raw-table rules, models and test lists are stated here for themselves; nothing is imported from the library
+under test. Each query string is self-contained: the CTEs it needs are prefixed by ``sql.build``.
 """
