@@ -244,17 +244,20 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     long_lists = lists.join(counted.where(F.col("m") > SHORT_LIST), "key").select(
         F.concat(F.lit("k"), F.col("key").cast("string")).alias("name"), "node")
     members = Stored(groups.unionByName(long_lists), "members")
-    counts = members.df.groupBy("name").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = members.df.join(counts, "name").withColumn("block", block).select(
-        "name", "node", F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(
+    # only groups over BLOCK_SETS are cut: at most one for each BLOCK_SETS members, so few that they are broadcast
+    large = Stored(members.df.groupBy("name").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("cut")).where("cut > 1"), "large")
+    few = large.df.count() <= BROADCAST_BYTES // 64
+    blocks = F.coalesce("cut", F.lit(1))
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    dealt = members.df.join(F.broadcast(large.df) if few else large.df, "name", "left").withColumn("block", block).select(
+        "name", "node", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(
             F.least(j, F.col("block")).alias("low"), F.greatest(j, F.col("block")).alias("high")))).alias("side"))
     wanted = sets.df.join(members.df.select("node").distinct(), "node", "left_semi").select("doc_id", "node")
     tokens = Stored(_token_sets(base, wanted, size), "tokens")
     links = Stored(dealt.join(tokens.df, "node").select("name", "side", "node", "tokens")
                    .groupBy("name", "side").applyInArrow(_verify(percent), "a string, b string"), "links")
     roots = components(links.df).withColumnRenamed("node", "linked")
-    for spent in (pairs, members, tokens, links):
+    for spent in (pairs, members, large, tokens, links):
         spent.drop()
     named = rows.df.select("doc_id", "n", "node").join(roots, F.col("node") == F.col("linked"), "left").withColumn(
         "name", F.coalesce("root", "node"))
