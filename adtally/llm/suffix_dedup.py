@@ -109,7 +109,7 @@ class Chunk:
             places.append(place + start)
             firsts.append(new + start)
             lasts.append(np.append(new[1:], len(least)) - 1 + start)
-            hashes.append(grams[place])
+            hashes.append(mix(grams[place] ^ np.uint64(0x9E3779B97F4A7C15)))  # the smallest are not spread evenly
         if not places:
             return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         at, first, last, gram = (np.concatenate(x) for x in (places, firsts, lasts, hashes))
