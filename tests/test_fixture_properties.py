@@ -9,10 +9,10 @@ from tests.conftest import SF_MID, SF_SMALL
 
 # ---- fixed values: FIXTURES.md §3 (sf0.001, sf0.01) -------------------------------------
 EXPECTED = {
-    SF_SMALL: dict(raw=1016, unique=1000, fct=994, perf=596, domain=11, future=4, orphan=5, flight=384,
-                   unit=12, advertiser=4, device=289, inactive=12, below_floor=361, burst_max=22),
-    SF_MID: dict(raw=10154, unique=10000, fct=9565, perf=629, domain=104, future=29, orphan=37, flight=3917,
-                 unit=113, advertiser=58, device=2870, inactive=153, below_floor=3928, burst_max=94),
+    SF_SMALL: dict(raw=1016, unique=1000, fct=970, perf=596, domain=11, future=4, orphan=5, flight=483,
+                   unit=12, advertiser=4, device=386, inactive=12, below_floor=361, unserved=8, hot=237, burst_max=22),
+    SF_MID: dict(raw=10154, unique=10000, fct=8945, perf=629, domain=104, future=29, orphan=37, flight=5055,
+                 unit=113, advertiser=58, device=3919, inactive=153, below_floor=3928, unserved=77, hot=1830, burst_max=94),
 }
 
 
@@ -33,6 +33,8 @@ def test_fixture_properties(spark, sf):
     assert anomalies.targeting_violations(m).agg(F.sum("device_violation")).first()[0] == e["device"]
     assert anomalies.inactive_unit_events(m).count() == e["inactive"]
     assert anomalies.below_floor_events(m).count() == e["below_floor"]
+    served = m.dim_campaigns.agg(F.count_if(F.col("total_events") == 0), F.max("total_events")).first()
+    assert tuple(served) == (e["unserved"], e["hot"])
     hourly = m.stg_ad_events.groupBy("publisher_id", F.date_trunc("hour", "event_timestamp"),
                                      "device_type", "country_code", "browser").count()
     assert hourly.agg(F.max("count")).first()[0] == e["burst_max"]

@@ -39,6 +39,15 @@ def test_fact_scan_prunes_columns(spark):
                         for line in scan)
 
 
+@pytest.mark.parametrize("name", sorted(catalog.STORED))
+def test_consumers_read_stored_tables(spark, name):
+    p = plan(catalog.run(name, spark, SF_SMALL))
+    assert "WindowGroupLimit" not in p  # no dedup of raw events in a chart, test, KPI or detector
+    if name in ("test_not_null", "test_unique"):
+        # the only generated rows are one result row for each test, after the aggregates
+        assert all("inline" in line for line in p.splitlines() if "Generate " in line)
+
+
 def test_aggregations_are_partial_then_final(spark):
     p = plan(catalog.run("fct_publisher_performance", spark, SF_SMALL))
     assert p.count("HashAggregate") >= 4  # partial + final for each of the two roll-ups

@@ -1,96 +1,70 @@
-"""Streaming jobs equal their batch counterparts, also when the input arrives in pieces."""
+"""Streaming jobs equal their batch counterparts for any split and order of the input."""
 
-import os
-import shutil
+import pytest
 
-from pyspark.sql import Window
-from pyspark.sql import functions as F
-
-from adtally.plans.models import Models
 from adtally.plans import staging
 from adtally.session import scratch_path
+from adtally.sources.fixtures import read_table
 from adtally.sources.registry import from_testdata
 from adtally.streaming import jobs
 from tests.compare import assert_same, spark_rows
 from tests.conftest import SF_SMALL
 
 
-def _split_source(spark, n_files=3, order_col="_loaded_at"):
-    """Copy events into a folder as several files in arrival order (``order_col`` of the
-    derived rows), so the stream sees several micro-batches the way a loader delivers them."""
-    d = scratch_path(spark, "events_split")
-    ev = spark.read.parquet(os.path.join(SF_SMALL, "events.parquet"))
-    loads = (from_testdata(spark, SF_SMALL).ad_events.groupBy("event_id")
-             .agg(F.min(order_col).alias("first_load"))
-             .withColumn("bucket", F.ntile(n_files).over(Window.orderBy("first_load", "event_id")))
-             .select(F.col("event_id").cast("long").alias("event_id"), "bucket"))
-    tagged = ev.join(loads, "event_id")
-    for i in range(1, n_files + 1):
-        tmp = f"{d}/_part{i}"
-        tagged.filter(F.col("bucket") == i).drop("bucket").coalesce(1).write.parquet(tmp)
-        f = [x for x in os.listdir(tmp) if x.endswith(".parquet")][0]
-        shutil.copy(os.path.join(tmp, f), os.path.join(d, f"events_{i}.parquet"))
-    return d
-
-
-def test_dedup_stream_equals_batch_dedup_over_micro_batches(spark):
-    src = _split_source(spark)
-    # drive the stream one file per micro-batch
-    ev = jobs.raw_event_stream(spark, src, max_files_per_trigger=1)
-    deduped = (ev.withColumn("arrival_time", ev["_loaded_at"].cast("timestamp"))
-               .withWatermark("arrival_time", "2 days").dropDuplicatesWithinWatermark(["event_id"])
-               .drop("_loaded_at", "arrival_time"))
-    path = scratch_path(spark, "dedup_stream_test")
-    jobs.run_available_now(deduped.writeStream.outputMode("append").format("parquet").option("path", path + "/data"),
-                           path + "/_ckpt")
-    got = spark.read.schema(deduped.schema).parquet(path + "/data")
-    batch = staging.dedup_events(from_testdata(spark, SF_SMALL).ad_events).drop("_loaded_at")
-    assert_same(spark_rows(got), spark_rows(batch), "stream dedup")
-
-
-def test_ctr_stream_equals_batch(spark):
-    got = jobs.ctr_alert_stream(spark, SF_SMALL)
-    batch = jobs.ctr_windows(from_testdata(spark, SF_SMALL).ad_events)
-    assert_same(spark_rows(got), spark_rows(batch), "ctr stream")
-    assert got.filter("is_alert").count() > 0
-
-
-def test_lag_stream_equals_batch(spark):
-    got = jobs.lag_stream(spark, SF_SMALL)
-    batch = jobs.lag_counts(Models(from_testdata(spark, SF_SMALL)).raw.ad_events)
-    assert_same(spark_rows(got), spark_rows(batch), "lag stream")
-
-
-def test_ctr_stream_over_event_time_ordered_batches(spark):
-    # files arrive in event-time order: the watermark advances between micro-batches, windows
-    # are updated by several batches and the versioned sink keeps each window's newest version
-    src = _split_source(spark, n_files=4, order_col="event_timestamp")
-    ev = jobs.raw_event_stream(spark, src, max_files_per_trigger=1)
-    windows = jobs.ctr_windows(ev)
-    out = scratch_path(spark, "ctr_multi")
-    jobs.run_available_now(windows.writeStream.outputMode("update")
-                           .foreachBatch(jobs._append_versions(out + "/data")), out + "/_ckpt")
-    versions = spark.read.parquet(out + "/data")
-    assert versions.select("batch_id").distinct().count() >= 4
-    got = jobs.latest_versions(spark, out + "/data", windows, ["window_start", "publisher_id"])
-    batch = jobs.ctr_windows(from_testdata(spark, SF_SMALL).ad_events)
-    assert_same(spark_rows(got), spark_rows(batch), "ctr stream, 4 batches")
-
-
-def test_stream_start_restores_callers_shuffle_partitions(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    jobs.lag_stream(spark, SF_SMALL)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
-
-
-def test_versioned_sink_is_idempotent_under_batch_replay(spark):
-    # a micro-batch re-run after a failure appends the same batch id again; readers still
-    # see exactly one row per key, with the newest batch's values
-    like = spark.createDataFrame([("a", 1)], "k string, v int")
-    path = scratch_path(spark, "replay_sink")
-    write = jobs._append_versions(path)
-    write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), 0)
-    write(spark.createDataFrame([("a", 2)], "k string, v int"), 1)
-    write(spark.createDataFrame([("a", 2)], "k string, v int"), 1)  # replayed batch 1
-    got = sorted(tuple(r) for r in jobs.latest_versions(spark, path, like, ["k"]).collect())
-    assert got == [("a", 2), ("b", 1)]
+@pytest.fixture(scope="module")
+def pieces(spark):
+    """The events as a folder of four files in id-modulo order: every file spans all days and loads."""
+    folder = scratch_path(spark, "events_in_pieces")
+    events = read_table(spark, SF_SMALL, "events")
+    for i in (2, 0, 3, 1):
+        events.where(f"event_id % 4 = {i}").coalesce(1).write.mode("append").parquet(f"{folder}/events.parquet")
+    return folder
+
+
+def batch_events(spark):
+    return from_testdata(spark, SF_SMALL).ad_events
+
+
+BATCH = {
+    "ctr": lambda e: jobs.ctr_windows(jobs.ctr_counts(e)),
+    "dedup": lambda e: staging.dedup_events(e).drop("_loaded_at"),
+    "lag": jobs.lag_counts,
+}
+STREAM = {"ctr": jobs.ctr_alert_stream, "dedup": jobs.dedup_stream, "lag": jobs.lag_stream}
+
+
+@pytest.mark.parametrize("name", sorted(STREAM))
+def test_stream_over_one_file(spark, name):
+    assert_same(spark_rows(STREAM[name](spark, SF_SMALL)), spark_rows(BATCH[name](batch_events(spark))), name)
+
+
+@pytest.mark.parametrize("name", sorted(STREAM))
+def test_stream_over_four_micro_batches_loses_nothing(spark, pieces, name):
+    out = scratch_path(spark, f"stream_{name}")
+    got = STREAM[name](spark, pieces, out=out, max_files=1)
+    folders = {r[0] for r in spark.read.parquet(out + "/data").select("batch_id").distinct().collect()}
+    assert len(folders) == 4
+    assert_same(spark_rows(got), spark_rows(BATCH[name](batch_events(spark))), name)
+
+
+def test_future_dated_rows_stay(spark, pieces):
+    got = jobs.dedup_stream(spark, pieces, max_files=1)
+    assert got.where("event_timestamp >= timestamp_ntz '2024-02-01 00:00:00'").count() == 4
+
+
+def test_replayed_batch_replaces_itself_and_compaction_keeps_the_result(spark):
+    path = scratch_path(spark, "replayed")
+    events = batch_events(spark)
+    write = jobs.reduced_batches(path, jobs.lag_counts)
+    for batch_id, rows in ((0, events.where("publisher_id <= 10")), (1, events.where("publisher_id > 10")), (1, events.where("publisher_id > 10"))):
+        write(rows, batch_id)
+    like = jobs.lag_counts(events)
+    assert_same(spark_rows(jobs.sum_lag_counts(jobs.read_batches(spark, path, like))), spark_rows(like), "replay")
+    jobs.compact(spark, path, like, jobs.sum_lag_counts)
+    assert [r[0] for r in spark.read.parquet(path).select("batch_id").distinct().collect()] == [jobs.COMPACTED]
+    assert_same(spark_rows(jobs.sum_lag_counts(jobs.read_batches(spark, path, like))), spark_rows(like), "compacted")
+
+
+def test_no_batch_yet_reads_as_empty(spark):
+    like = jobs.lag_counts(batch_events(spark))
+    assert jobs.read_batches(spark, scratch_path(spark, "nothing"), like).count() == 0
