@@ -109,6 +109,27 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op2_suffix_array_dedup": r"""
+WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (
+  SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+  FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS i FROM raw WHERE length(h) >= 100)
+), owned AS (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY s) < doc_id AS repeats FROM strings
+), marks AS (SELECT DISTINCT doc_id, i + k AS pos FROM owned, range(50) AS r(k) WHERE repeats
+), bytes AS (
+  SELECT doc_id, pos, substr(h, 2 * pos + 1, 2) AS byte FROM (SELECT doc_id, h, unnest(range(length(h) // 2)) AS pos FROM raw)
+), kept AS (
+  SELECT b.doc_id, b.pos, b.byte, m.pos IS NOT NULL AS gone FROM bytes b LEFT JOIN marks m ON m.doc_id = b.doc_id AND m.pos = b.pos
+), runs AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM kept
+), done AS (
+  SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (WHERE gone) AS n_removed, count(*) FILTER (WHERE opens) AS n_spans,
+         sha256(unhex(coalesce(string_agg(byte, '' ORDER BY pos) FILTER (WHERE NOT gone), ''))) AS kept_sha256
+  FROM runs GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents d LEFT JOIN done USING (doc_id)
+""",
     "op3_chat_formatting": r"""
 WITH given AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -126,6 +147,28 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(text_chars + CASE WHEN opens THEN 12 + length(role) + 1 + 10 + 1 ELSE 10 END) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op5_ngram_jaccard_join": r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(greatest(len(w) - 2, 1))) AS i FROM tokens WHERE len(w) > 0
+), shingles AS (SELECT DISTINCT doc_id, list_slice(w, i + 1, i + 3) AS s FROM starts
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS inter FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * inter >= 90 * (x.n + y.n - inter)
+), steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id AS origin, doc_id AS node FROM documents
+  UNION
+  SELECT r.origin, s.b FROM reached r JOIN steps s ON s.a = r.node
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least_id AS component_id
+FROM documents d LEFT JOIN sizes s USING (doc_id)
+JOIN (SELECT origin, min(node) AS least_id FROM reached GROUP BY origin) ON origin = d.doc_id
 """,
     "op7_benchmark_decontamination": r"""
 WITH doc_words AS (
