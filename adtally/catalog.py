@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from adtally.plans import charts
 from adtally.plans.models import Models
 from adtally.plans.pipeline import build_marts
-from adtally.session import delete_path, file_listing, scratch_path
+from adtally.session import delete_path, file_listing, temporary_path
 from adtally.sources.load import load_raw
 from adtally.sources.registry import from_testdata
 
@@ -52,7 +52,7 @@ def _bound(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], M
     if key not in _ROOTS or _ROOTS[key][0] != version:
         if key in _ROOTS:
             delete_path(spark, _ROOTS[key][1])
-        root = scratch_path(spark, kind)
+        root = temporary_path(spark, kind)
         _MODELS[key] = build(root)
         _MODELS[key].sf_dir = sf_dir  # streaming queries re-read the source files as a stream
         _ROOTS[key] = (version, root)

@@ -116,6 +116,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_TEMPORARY: list[tuple[SparkSession, str]] = []
+
+
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A scratch path for a table that only this application reads; what is left of it at exit is deleted."""
+    if not _TEMPORARY:
+        atexit.register(_drop_temporary)
+    path = scratch_path(spark, name)
+    _TEMPORARY.append((spark, path))
+    return path
+
+
+def _drop_temporary() -> None:
+    for spark, path in _TEMPORARY:
+        try:
+            delete_path(spark, path)
+        except Exception:  # noqa: BLE001  the session is stopped: nothing can be deleted any more
+            return
+
+
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings sized for a cluster run over ``input_bytes`` of raw events.
 
