@@ -11,7 +11,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.session import scratch_path
+from adtally.session import delete_path, temporary_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,15 +40,13 @@ class Stored:
     """A table written to the shared checkpoint folder: it cuts the lineage and survives lost executors."""
 
     def __init__(self, df: DataFrame, name: str):
-        self.spark, self.path = df.sparkSession, scratch_path(df.sparkSession, name)
+        self.spark, self.path = df.sparkSession, temporary_path(df.sparkSession, name)
         df.write.parquet(self.path)
         self.df = self.spark.read.schema(df.schema).parquet(self.path)
 
     def drop(self) -> None:
-        """Delete the files, once nothing that is still to run reads them."""
-        jvm, sc = self.spark._jvm, self.spark.sparkContext
-        path = jvm.org.apache.hadoop.fs.Path(self.path)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        """Delete the files, once nothing that is still to run reads them; else they go when the application ends."""
+        delete_path(self.spark, self.path)
 
 
 def size_in_bytes(df: DataFrame, *columns: str) -> int:
