@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from adtally.plans import charts, quality
 from adtally.plans.models import Models
@@ -142,3 +143,24 @@ def test_replay_sample_brute_force(spark):
     assert {tuple(r) for r in got} <= raw_rows                                       # real rows only
     # n larger than the table returns the whole table, never more
     assert profiling.replay_sample(mm, n=10**6, seed=7).count() == len(raw_rows)
+
+
+def test_publisher_labels_on_every_mapped_name(spark):
+    from adtally.plans.charts import publisher_label
+    names = ["GameSpot Digital", "IGN Entertainment", "Polygon Media", "Eurogamer Network", "Kotaku Digital", "The Gamer Network", "Other"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select(publisher_label(F.col("n")).alias("label")).collect()
+    assert [r.label for r in got] == ["GameSpot", "IGN", "Polygon", "Eurogamer", "Kotaku", "The Gamer", "Other"]
+
+
+def test_failing_rows_of_every_kind(m):
+    from adtally.operators.checks import TestSpec, failing_rows
+    assert failing_rows(TestSpec("stg_ad_events", "campaign_id", "not_null"), m).count() == 1
+    assert [r.value_field for r in failing_rows(TestSpec("stg_ad_events", "event_type", "accepted_values", values=("click",)), m).collect()] == ["impression"]
+    assert {r.unique_field for r in failing_rows(TestSpec("stg_ad_events", "publisher_id", "unique"), m).collect()} == {1}
+
+
+def test_freshness_reports_future_loads_by_themselves(m):
+    from adtally.plans.quality import test_freshness as freshness
+    r = freshness(m, as_of=T0 + dt.timedelta(hours=1)).first()
+    assert (r.status, r.age_hours, r.future_loads, r.future_status) == ("pass", 1.0, 1, "future_loads")
+    assert freshness(m, as_of=T0 - dt.timedelta(days=9)).first().status == "error"
