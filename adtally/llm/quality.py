@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import id_text
 
-FIT_DOCS = 12_000
+FIT_DOCS = 6_000
 BUCKETS = 1 << 16
 CACHE_TOKENS = 200_000
 EM_STEPS, PRIOR_BAD = 60, 0.2
@@ -201,15 +201,21 @@ def train(docs: DataFrame) -> dict:
 
     def featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen = [measures(t) for t in batch.column("text").to_pylist()]
-            out = [hashed(words, shares) for words, shares in seen]
+            buckets, values, patterns = [], [], []
+            for text in batch.column("text"):
+                words, shares = measures(text.as_py())
+                at, value = hashed(words, shares)
+                buckets.append(at.astype(np.int32))
+                values.append(value.astype(np.float32))
+                patterns.append("".join(map(str, votes(len(words), shares))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array([b.astype(np.int32) for b, _ in out], pa.list_(pa.int32())), pa.array([v.astype(np.float32) for _, v in out], pa.list_(pa.float32())),
-                 pa.array(["".join(map(str, votes(len(words), shares))) for words, shares in seen], pa.string())], ["buckets", "weights", "pattern"])
+                [pa.array(buckets, pa.list_(pa.int32())), pa.array(values, pa.list_(pa.float32())), pa.array(patterns, pa.string())],
+                ["buckets", "weights", "pattern"])
 
     picked = docs.where((F.length("text") > 0) & (F.pmod(F.xxhash64("doc_id", F.lit("fit")), F.lit(share)) == 0))
-    sample = picked.select("text").mapInArrow(featurize, "buckets array<int>, weights array<float>, pattern string").toPandas()
-    rows = [(np.asarray(b), np.asarray(v, float), weak[p]) for b, v, p in zip(sample["buckets"], sample["weights"], sample["pattern"]) if p in weak]
+    sample = picked.select("text").mapInArrow(featurize, "buckets array<int>, weights array<float>, pattern string").toArrow()
+    rows = [(b.values.to_numpy(), v.values.to_numpy(), weak[p.as_py()])
+            for b, v, p in zip(sample["buckets"], sample["weights"], sample["pattern"]) if p.as_py() in weak]
     return {"weights": fit(rows), "votes": table, "bad": bad, "weak": weak}
 
 
@@ -221,8 +227,8 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         known = TokenWeights(shared.value)
         for batch in batches:
             scores, patterns = [], []
-            for text in batch.column("text").to_pylist():
-                words, shares = measures(text)
+            for text in batch.column("text"):
+                words, shares = measures(text.as_py())
                 scores.append(float(1 / (1 + np.exp(-np.clip(known.logit(words, shares), -30, 30)))) if words else 0.0)
                 patterns.append("".join(map(str, votes(len(words), shares))))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(patterns, pa.string())],
@@ -244,8 +250,10 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = TokenWeights(shared.value)
         for batch in batches:
-            seen = [measures(text or "") for text in batch.column(text_col).to_pylist()]
-            odds = np.log(threshold) - np.log1p(-threshold)
-            yield batch.filter(pa.array([bool(words) and known.logit(words, shares) >= odds for words, shares in seen], pa.bool_()))
+            odds, keep = np.log(threshold) - np.log1p(-threshold), []
+            for text in batch.column(text_col):  # one text's words at a time
+                words, shares = measures(text.as_py() or "")
+                keep.append(bool(words) and known.logit(words, shares) >= odds)
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

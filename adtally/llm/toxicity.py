@@ -328,9 +328,9 @@ def train(docs: DataFrame, labels: DataFrame) -> dict:
                 found = marginals([_TOKEN.findall(t) for t in part.column("text").to_pylist()], known, shared.value)
                 yield pa.RecordBatch.from_arrays([part.column("label"), pa.array([summary(p) for p in found], pa.list_(pa.float64()))], ["label", "x"])
 
-    seen = rows.df.select("label", "text").mapInArrow(summaries, "label int, x array<double>").toPandas()  # MAX_TRAIN rows or so
+    seen = rows.df.select("label", "text").mapInArrow(summaries, "label int, x array<double>").toArrow()  # MAX_TRAIN rows or so
     rows.drop()
-    return {"weights": weights, "score": fit_logistic(np.array(seen["x"].tolist()), seen["label"].to_numpy(float))}
+    return {"weights": weights, "score": fit_logistic(np.array(seen["x"].to_pylist()), seen["label"].to_numpy().astype(float))}
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:
