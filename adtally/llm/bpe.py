@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from .common import Stored, id_text
 
 LEXICON_WORDS = 65_536
-CACHE_WORDS = 200_000
+CACHE_WORDS = 150_000
 END = "</w>"
 _NO_MERGE = 1 << 62
 _BYTES = [bytes([b]) for b in range(256)]
@@ -295,17 +295,19 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LE
     shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), build_lexicon(docs, vocabulary, lexicon_words, text_col)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()  # nothing here forms cycles, and walking the known words again and again costs time
         parts, block = shared.value
         encoder = Encoder(Vocabulary(**parts), block)
+        gc.collect()
+        gc.freeze()  # the vocabulary stays as it is: later collections need not walk it
         for batch in batches:
-            for start in range(0, len(batch), 512):  # a few texts at a time bound the memory
-                part = batch.slice(start, 512)
+            for start in range(0, len(batch), 256):  # a few texts at a time bound the memory
+                part = batch.slice(start, 256)
                 ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
                 offsets = np.cumsum([0] + [len(x) for x in ids])
                 flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
                      pa.array([encoder.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "decoded"])
+        gc.unfreeze()  # the worker is used again
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
