@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_BYTES = 4 << 20  # text in a chunk, on average
+CHUNK_BYTES = 2 << 20  # text in a chunk, on average
 RANGE_HASHES = 1 << 20  # hashes in a range, on average
 ASK = "part int, chunk int, hashes binary, counts binary"
 ANSWER = "chunk int, part int, answer binary"

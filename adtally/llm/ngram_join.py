@@ -13,7 +13,8 @@ Equal sets are joined first (one representative goes on). Index lists are then r
 
 * lists of up to ``SHORT_LIST`` sets give pairs; size and a parity bitmap (the bits that differ never
   outnumber the tokens that differ) drop most of the wrong ones, and what remains joins up to small groups;
-* longer lists are groups of their own, dealt into blocks of ``BLOCK_SETS`` sets and pairs of blocks.
+* longer lists are groups of their own, lists with the same first member (by hash) one group together, dealt into
+  blocks of ``BLOCK_SETS`` sets and pairs of blocks.
 
 Each group is verified in one task from the exact token sets, which emits a link only where it joins
 two parts of the group, never all pairs. Components over these links are the answer: a link that is
@@ -216,10 +217,12 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
     def tokens(batches):
         for batch in batches:
-            sets = [shingle_set(text, size) for text in batch.column("text").to_pylist()]
-            keep = [i for i, (s, node) in enumerate(zip(sets, batch.column("node").to_pylist())) if set_name(s) == node]
-            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(keep, pa.int64())),
-                                              pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "tokens"])
+            for start in range(0, len(batch), 512):
+                part = batch.slice(start, 512)
+                sets = [shingle_set(text, size) for text in part.column("text").to_pylist()]
+                keep = [i for i, (s, node) in enumerate(zip(sets, part.column("node").to_pylist())) if set_name(s) == node]
+                yield pa.RecordBatch.from_arrays([part.column("node").take(pa.array(keep, pa.int64())),
+                                                  pa.array([sets[i].tobytes() for i in keep], pa.binary())], ["node", "tokens"])
 
     return matched.select("node", "text").mapInArrow(tokens, "node string, tokens binary").dropDuplicates(["node"])
 
@@ -237,12 +240,13 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap"),
         F.first("keys").alias("keys")), "sets")
     lists = sets.df.select("node", "n", F.explode("keys").alias("key"))
-    counted = lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    short = lists.join(counted.where(F.col("m") <= SHORT_LIST), "key").drop("m")
+    counted = lists.groupBy("key").agg(F.count("*").alias("m"), F.min(F.xxhash64("node")).alias("first")).where("m > 1")
+    short = lists.join(counted.where(F.col("m") <= SHORT_LIST), "key").drop("m", "first")
     pairs = Stored(_short_list_pairs(short, sets.df, percent), "pairs")
     groups = components(pairs.df).select(F.concat(F.lit("g"), "root").alias("name"), "node")
+    # the many lists of one hot group hold nearly the same sets: lists with the same first member (by hash) are one
     long_lists = lists.join(counted.where(F.col("m") > SHORT_LIST), "key").select(
-        F.concat(F.lit("k"), F.col("key").cast("string")).alias("name"), "node")
+        F.concat(F.lit("k"), F.col("first").cast("string")).alias("name"), "node").distinct()
     members = Stored(groups.unionByName(long_lists), "members")
     # only groups over BLOCK_SETS are cut: at most one for each BLOCK_SETS members, so few that they are broadcast
     large = Stored(members.df.groupBy("name").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("cut")).where("cut > 1"), "large")

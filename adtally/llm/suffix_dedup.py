@@ -30,13 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import id_text, size_in_bytes
-from .exchange import ANSWER, ASK, RANGE_HASHES, answer_by_count, ask, chunk_count, read_answers, with_chunk
+from .exchange import ANSWER, ASK, CHUNK_BYTES, RANGE_HASHES, answer_by_count, ask, chunk_count, read_answers, with_chunk
 
 LENGTH, GRAM, LEADING = 50, 20, 16
 HOT = 1024  # documents with one gram
 SEGMENT = 1 << 16  # strings looked at together, so that what is computed on them stays in the cache
 SAMPLE_BYTES, SAMPLE_SUFFIXES = 16 << 20, 50_000
-CHUNK_BYTES, BUCKET_BYTES = 2 << 20, 4 << 20  # text for a chunk and for a bucket of suffixes
+BUCKET_BYTES = 4 << 20  # text for a bucket of suffixes
 SMALL_SORT = 8192
 NO_ID = np.iinfo(np.int64).min
 SUFFIXES = "part int, chunk int, n_contexts int, contexts binary, n_strings int, strings binary"
