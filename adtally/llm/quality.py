@@ -5,7 +5,8 @@ nobody tells by how much: expectation-maximisation over the vote patterns of the
 estimates each labeller's accuracy on good and on bad texts together with the share of bad ones
 (votes taken as independent given the true class). The posterior of a pattern is the weak
 label of its documents, and a linear scorer over hashed features of tokens and lines learns these labels;
-it also scores texts on which the labellers abstain. No given label is used.
+it also scores texts on which the labellers abstain. No given label is used. "few words" is the mean over
+stretches of 400 words; the last stretch ends with the text and may overlap the one before, so every word is read.
 
 The votes of all documents are counted (patterns, of which there are ``3 ** len(LABELLERS)`` at most, reach the
 driver); the scorer is fitted on about ``FIT_DOCS`` documents picked by hash, all if there are fewer.
@@ -59,7 +60,8 @@ def measures(text: str) -> tuple[list[str], list[float]]:
     echoes = sum(map(str.__eq__, words, words[1:]))
     lines = [line for line in text.split("\n") if line.strip()]
     window = min(n, 400)  # the share of new words falls with length: mean over stretches of 400 words
-    new = np.mean([len(set(words[i:i + window])) / window for i in range(0, n - window + 1, window)])
+    starts = [*range(0, n - window, window), n - window]  # the last one ends with the text
+    new = np.mean([len(set(words[i:i + window])) / window for i in starts])
     return words, [
         len(_SYMBOLS.findall(text)) / len(text), len(_UPPER.findall(text)) / max(1, len(text) - n), echoes / max(1, n - 1),
         len(_RUN.findall(text)) / n, bare / n, max(kinds.values()) / n, 1 - float(new),
