@@ -44,7 +44,7 @@ FREQUENT, VERY_FREQUENT = 16, 1024  # documents that hold a token of the classes
 SHORT_LIST, BLOCK_SETS = 64, 1024
 BITMAP_BITS = 1024
 BROADCAST_BYTES = 8 << 20
-PROFILE = "doc_id long, node string, n long, bitmap array<long>, keys array<long>"
+PROFILE = "doc_id long, text_hash long, node string, n long, bitmap array<long>, keys array<long>"
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def _sets(table: pa.Table, size: int) -> list[np.ndarray]:
 
 def profiles(docs: DataFrame, size: int, percent: int, chunks: int, parts: int) -> DataFrame:
     """A row for each document: its set's name and size, parity bitmap and index keys."""
-    dealt = with_chunk(docs, chunks)
+    dealt = with_chunk(docs.withColumn("text_hash", F.xxhash64("text")), chunks)
 
     def ask_frequency(table: pa.Table) -> pa.Table:
         sets = _sets(table, size)
@@ -150,7 +150,7 @@ def profiles(docs: DataFrame, size: int, percent: int, chunks: int, parts: int)
         _, inverse = np.unique(np.concatenate(sets) if sets else np.zeros(0, np.uint64), return_inverse=True)
         classes = np.split(read_answers(answered)[inverse], np.cumsum(lengths)[:-1]) if sets else []
         return pa.table({
-            "doc_id": table.column("doc_id"), "node": pa.array([set_name(s) for s in sets], pa.string()),
+            "doc_id": table.column("doc_id"), "text_hash": table.column("text_hash"), "node": pa.array([set_name(s) for s in sets], pa.string()),
             "n": pa.array(lengths, pa.int64()), "bitmap": pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
             "keys": pa.array([prefix_keys(s, c, percent) for s, c in zip(sets, classes)], pa.list_(pa.int64()))})
 
@@ -227,9 +227,8 @@ def _token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return matched.select("node", "text").mapInArrow(tokens, "node string, tokens binary").dropDuplicates(["node"])
 
 
-def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
-                    percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row: the smallest id that its links reach."""
+def _named_rows(docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """(doc_id, text_hash, n, name) for every row: the name of its component, null for a text without words."""
     base = id_text(docs, id_col, text_col)
     total = size_in_bytes(base, "text")
     chunks = chunk_count(total)
@@ -263,9 +262,27 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links.df).withColumnRenamed("node", "linked")
     for spent in (pairs, members, large, tokens, links):
         spent.drop()
-    named = rows.df.select("doc_id", "n", "node").join(roots, F.col("node") == F.col("linked"), "left").withColumn(
-        "name", F.coalesce("root", "node"))
+    return rows.df.select("doc_id", "text_hash", "n", "node").join(roots, F.col("node") == F.col("linked"), "left").select(
+        "doc_id", "text_hash", "n", F.coalesce("root", "node").alias("name"))
+
+
+def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+                    percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row: the smallest id that its links reach."""
+    named = _named_rows(docs, id_col, text_col, size, percent)
     smallest = named.where("name IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("smallest"))
     return named.join(smallest, "name", "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("smallest")).alias("component_id"))
+
+
+def spare_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SIZE,
+               percent: int = PERCENT) -> DataFrame:
+    """Distinct (doc_id, text_hash) of the rows that are not the first of their component.
+
+    The first one has the smallest id (a null id comes last) and, of several texts with that id, the smallest hash.
+    """
+    named = _named_rows(docs, id_col, text_col, size, percent).where("name IS NOT NULL")
+    first = named.groupBy("name").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    return named.join(first, "name").where(~stays).select("doc_id", "text_hash").distinct()

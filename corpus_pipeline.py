@@ -2,12 +2,13 @@
 
 1. quality classifier: documents that score under one half go;
 2. line dedup: later occurrences of repeated three-line windows go; a document of which no line is left goes;
-3. n-gram Jaccard join (five words, 0.8): of each group the document with the smallest id stays;
+3. n-gram Jaccard join (five words, 0.8): of each group the document with the smallest id stays (a null id comes last,
+   and one of several texts with that id); rows are told apart by id and text;
 4. benchmark decontamination: contaminated documents go;
 5. BPE encoding and decoding: ids and decoded text of every document that is left.
 
 All stages but the last return the columns of their input. Null texts are empty and leave with stage 1;
-rows with a null id pass the stages that compare documents by id; repeated rows stay once after stage 3.
+a row with a null id is a document like any other; repeated rows stay once after stage 3.
 """
 
 from __future__ import annotations
@@ -32,10 +33,11 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    linked = ngram_join.link_components(docs, size=5, percent=80)
-    spare = Stored(linked.where("component_id <> doc_id").select("doc_id").distinct(), "spare")
-    kept = docs.join(spare.df, "doc_id", "left_anti").select(*docs.columns)
-    repeated = linked.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    spare = Stored(ngram_join.spare_rows(docs, size=5, percent=80).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "spare")
+    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    kept = docs.join(spare.df, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")), "left_anti").select(*docs.columns)
+    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 

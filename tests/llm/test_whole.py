@@ -2,6 +2,7 @@
 
 import random
 
+import corpus_pipeline
 from adtally.llm import quality
 
 
@@ -17,3 +18,12 @@ def test_few_words_reads_the_text_to_its_end():
         assert abs(share(prose + spam) - (1 - sum(len(set(s)) for s in stretches) / 400 / len(stretches))) < 1e-9
         assert share(prose + spam) > clean or n == 1
     assert share(prose[:30]) == 0 and share(prose) == clean
+
+
+def test_join_stage_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(6)
+    a, b, c, d = (" ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(40)) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (None, a), (None, c), (None, c + " end"), (3, d), (3, d + " end"), (4, b + " end")]
+    kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    found = [(r.doc_id, r.text.removesuffix(" end")) for r in kept]
+    assert sorted(found, key=str) == sorted([(1, a), (2, b), (None, c), (3, d)], key=str)
