@@ -2,8 +2,10 @@
 
 import random
 
+import numpy as np
+
 import corpus_pipeline
-from adtally.llm import quality
+from adtally.llm import ngram_join, quality
 
 
 def test_few_words_reads_the_text_to_its_end():
@@ -27,3 +29,24 @@ def test_join_stage_tells_rows_of_one_id_apart(spark):
     kept = corpus_pipeline.near_duplicate_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     found = [(r.doc_id, r.text.removesuffix(" end")) for r in kept]
     assert sorted(found, key=str) == sorted([(1, a), (2, b), (None, c), (3, d)], key=str)
+
+
+def test_linked_sets_of_frequent_tokens_share_a_key_at_half():
+    # dealt into 64 blocks of either kind, the 171 shared tokens would lie one or two to a block
+    def tokens(n, start, per_block):
+        return [((i // per_block) % 64 + 64 * (start + i)) << 8 for i in range(n)]
+
+    pairs, triples = tokens(64, 1, 1), tokens(107, 1000, 2)
+    keys = []
+    for own in (tokens(85, 2000, 1), tokens(85, 3000, 1)):
+        s = np.sort(np.array(pairs + triples + own, np.uint64))
+        keys.append(set(ngram_join.prefix_keys(s, np.where(np.isin(s, np.array(pairs, np.uint64)), 6, 12), 50)))
+    assert keys[0] & keys[1]
+
+
+def test_every_prefix_outlasts_its_misses():
+    for percent in range(1, 101):
+        for n in [*range(1, 400), 1000, 5000, 20_000]:
+            smallest, largest = -(-percent * n // 100), n * 100 // percent
+            for scale in range(smallest.bit_length() - 1, largest.bit_length()):
+                assert n - 3 * ngram_join.block_count(scale, percent) > ngram_join.allowed_misses(n, percent)
