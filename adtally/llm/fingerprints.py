@@ -5,7 +5,8 @@ range. The threshold is the same for every text, so sketches of parts can be uni
 containment of a small text in a large one can be read from the two sketches. A text of
 fewer than five words is one shingle; a text without words is one shingle of nothing. Where no
 hash of a text lies under the threshold, the sketch holds its smallest hash, so that short
-texts can be told apart; that hash lies above the threshold and so can be recognised.
+texts can be told apart; that hash lies above the threshold and so can be recognised. Sketches with
+such a hash are not compared: ``likeness`` then takes all hashes of both texts.
 
 Defined results: null text: empty; equal texts have equal fingerprints; rows with equal id are
 ordered by text; the successor of the last document is the first one (a single document is its
@@ -20,6 +21,7 @@ not the result.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,8 +33,12 @@ FRACTION = 1 / 8  # share of the hash range that is retained
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
-def sketch(text: Column, fraction: float = FRACTION, size: int = SHINGLE) -> Column:
-    """Sorted distinct retained hashes of a text: array<long>, never empty."""
+def _limit(fraction: float) -> Column:
+    return F.lit(-(2 ** 63) + int(2 ** 64 * fraction)).cast("long")
+
+
+def _of_hashes(text: Column, size: int, chosen: Callable[[Column], Column]) -> Column:
+    """``chosen`` of the hashes of all shingles of a text."""
     hashes = F.transform(F.filter(F.split(text, WORD_BREAK, -1), lambda w: w != ""), lambda w: F.xxhash64(w))
 
     def shingles(h: Column) -> Column:
@@ -40,14 +46,17 @@ def sketch(text: Column, fraction: float = FRACTION, size: int = SHINGLE) -> Col
                            lambda i: F.xxhash64(*[F.get(h, i + j) for j in range(size)]))
         return F.when(F.size(h) >= size, many).otherwise(F.array(F.xxhash64(h)))
 
-    limit = -(2 ** 63) + int(2 ** 64 * fraction)
+    # each inner array is bound once: a lambda over a one-element array keeps it from being computed twice
+    return F.get(F.transform(F.transform(F.array(hashes), shingles), chosen), F.lit(0))
+
 
+def sketch(text: Column, fraction: float = FRACTION, size: int = SHINGLE) -> Column:
+    """Sorted distinct retained hashes of a text: array<long>, never empty."""
     def retained(all_hashes: Column) -> Column:
-        low = F.filter(all_hashes, lambda x: x < F.lit(limit).cast("long"))
+        low = F.filter(all_hashes, lambda x: x < _limit(fraction))
         return F.when(F.size(low) > 0, F.array_sort(F.array_distinct(low))).otherwise(F.array(F.array_min(all_hashes)))
 
-    # each inner array is bound once: a lambda over a one-element array keeps it from being computed twice
-    return F.get(F.transform(F.transform(F.array(hashes), shingles), retained), F.lit(0))
+    return _of_hashes(text, size, retained)
 
 
 def fingerprint(sketch_col: Column) -> Column:
@@ -55,9 +64,28 @@ def fingerprint(sketch_col: Column) -> Column:
     return F.array_join(F.transform(sketch_col, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Estimated containment of the smaller text in the larger, 0 to 1."""
-    return F.size(F.array_intersect(a, b)) / F.least(F.size(a), F.size(b))
+def fell_back(sketch_col: Column, fraction: float = FRACTION) -> Column:
+    """No hash of the text lies under the threshold: the sketch holds its smallest one."""
+    return F.get(sketch_col, F.lit(0)) >= _limit(fraction)
+
+
+def likeness(a: Column, b: Column, text_a: Column | None = None, text_b: Column | None = None,
+             fraction: float = FRACTION, size: int = SHINGLE) -> Column:
+    """Estimated containment of the smaller text in the larger, 0 to 1.
+
+    A smallest hash above the threshold says nothing of another sketch, which holds the hashes below it only. If
+    either side has one, all hashes of the two texts are compared; without the texts the answer is null, but 1
+    for equal sketches.
+    """
+    def share(x: Column, y: Column) -> Column:
+        return F.size(F.array_intersect(x, y)) / F.least(F.size(x), F.size(y))
+
+    whole = F.when(a == b, F.lit(1.0))
+    if text_a is not None and text_b is not None:
+        x, y = (_of_hashes(text, size, F.array_distinct) for text in (text_a, text_b))
+        # bound once, as above
+        whole = F.get(F.transform(F.array(F.struct(x.alias("x"), y.alias("y"))), lambda both: share(both["x"], both["y"])), F.lit(0))
+    return F.when(fell_back(a, fraction) | fell_back(b, fraction), whole).otherwise(share(a, b))
 
 
 def _id_ranges(docs: DataFrame, rows_per_range: int, max_ranges: int) -> list[int]:
@@ -97,7 +125,7 @@ def with_successor(docs: DataFrame, rows_per_range: int = 2_000, max_ranges: int
 
 def successive_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                             fraction: float = FRACTION, rows_per_range: int = 2_000) -> DataFrame:
-    """Per document: its text and edited text, both sketches, and the next document's sketch.
+    """Per document: its text and edited text, both sketches, and the next document's text and sketch.
 
     The edited text has the last quarter of the code points (floor) replaced by as many from the start
     of the next document's text, or all of it.
@@ -107,5 +135,6 @@ def successive_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: s
     edited = F.concat(F.substring(F.col("text"), F.lit(1), F.length("text") - quarter),
                       F.substring(F.col("next.text"), F.lit(1), quarter))
     return (with_successor(base, rows_per_range)
-            .select("doc_id", "text", "sketch", F.col("next.sketch").alias("next_sketch"), edited.alias("edited_text"))
+            .select("doc_id", "text", "sketch", F.col("next.sketch").alias("next_sketch"),
+                    F.col("next.text").alias("next_text"), edited.alias("edited_text"))
             .withColumn("edited_sketch", sketch(F.col("edited_text"), fraction)))

@@ -77,8 +77,8 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
-        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text"), F.col("edited_text")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next_sketch"), F.col("text"), F.col("next_text")).alias("near_next"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

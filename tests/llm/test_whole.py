@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adtally.llm import ngram_join, quality
+from adtally.llm import fingerprints, ngram_join, quality
 
 
 def test_few_words_reads_the_text_to_its_end():
@@ -50,3 +51,24 @@ def test_every_prefix_outlasts_its_misses():
             smallest, largest = -(-percent * n // 100), n * 100 // percent
             for scale in range(smallest.bit_length() - 1, largest.bit_length()):
                 assert n - 3 * ngram_join.block_count(scale, percent) > ngram_join.allowed_misses(n, percent)
+
+
+def test_short_texts_are_found_in_long_ones(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(7))
+    rows = []
+    for i in range(40):
+        words = [word() for _ in range(300)]
+        # the short one stands before the long one that holds it, after one that it holds, and before one that shares three words with it
+        rows += [(4 * i, " ".join(words[100:110])), (4 * i + 1, " ".join(words)), (4 * i + 2, " ".join(words[200:210])),
+                 (4 * i + 3, " ".join(words[207:210] + [word() for _ in range(7)]))]
+    done = fingerprints.successive_fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))
+    fell = fingerprints.fell_back(F.col("sketch"))
+    like = fingerprints.likeness(F.col("sketch"), F.col("next_sketch"), F.col("text"), F.col("next_text"))
+    blind = fingerprints.likeness(F.col("sketch"), F.col("next_sketch"))
+    found = {r.doc_id: r for r in done.select("doc_id", fell.alias("fell"), like.alias("like"), blind.alias("blind")).collect()}
+    assert sum(found[4 * i].fell for i in range(40)) > 5
+    for i in range(40):
+        assert found[4 * i].like == 1 and found[4 * i + 1].like == 1
+        assert found[4 * i].blind is None if found[4 * i].fell else found[4 * i].blind == 1
+        assert found[4 * i + 2].like == 0
