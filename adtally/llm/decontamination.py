@@ -9,8 +9,9 @@ window of 13 consecutive item words (an item of fewer words is one window) is lo
    left are alignments (doc, item, shift) of an item along a document.
 4. Each alignment is compared word by word with the whole text, which gives exact phrase hits.
 
-``proximity`` finds, from the same index, documents that hold all rare places of a window within a
-number of words, in any order.
+With ``slop``, ``contamination`` also names, from the same index, the items near a document: it holds the two
+rarest different words of a window (of those that the corpus has) within ``slop`` words, in any order. A window
+of one word is near where that word is; one of which the corpus has a single word of several is near nothing.
 
 Defined results: null text has no words; items without words are never found; repeated documents
 get equal results, one for each row; repeated items with one id and text count once; a null
@@ -119,6 +120,21 @@ def rare_places(items: list[tuple[int, list[bytes]]], terms: dict[bytes, int], c
     return probes
 
 
+def near_places(items: list[tuple[int, list[bytes]]], terms: dict[bytes, int], counts: np.ndarray, size: int) -> set:
+    """As ``rare_places``: the first places of the two rarest different terms of each window that the corpus has."""
+    probes = set()
+    for item, tokens in items:
+        rank = [(int(counts[terms[w]]), terms[w], p) for p, w in enumerate(tokens)]
+        for start in _windows(tokens, size):
+            first: dict[int, tuple] = {}
+            for each in rank[start:start + size]:
+                first.setdefault(each[1], each)
+            here = sorted(each for each in first.values() if each[0])[:2]
+            if len(here) == min(2, len(first)):
+                probes.add((here[0][1], here[-1][1], item, here[0][2], here[-1][2]))
+    return probes
+
+
 def alignments(index: DataFrame, probes: set) -> DataFrame:
     """Intersect offset-adjusted lists: distinct (doc_id, text_hash, item, shift), shift = document minus item position."""
     spark = index.sparkSession
@@ -135,7 +151,7 @@ def alignments(index: DataFrame, probes: set) -> DataFrame:
         "shifts", F.transform("other_positions", lambda p: p - F.col("other_place")))).alias("shift")).distinct()
 
 
-def proximity(index: DataFrame, probes: set, slop: int = 8) -> DataFrame:
+def proximity(index: DataFrame, probes: set, slop: int = WINDOW) -> DataFrame:
     """(doc_id, text_hash, item, place, other_place): both rare terms of a window within ``slop`` words, any order."""
     spark = index.sparkSession
     asked = F.broadcast(spark.createDataFrame(
@@ -192,27 +208,51 @@ def _verify(docs: DataFrame, found: DataFrame, items: list[tuple[int, list[bytes
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", size: int = WINDOW,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES, slop: int | None = None) -> DataFrame:
     """(doc_id, text_hash, n_words, n_hit, spans, item_ids), one row for each document row.
 
-    ``spans`` are the hit runs of words (begin, end), ``item_ids`` the items with a window that occurs.
+    ``spans`` are the hit runs of words (begin, end), ``item_ids`` the items with a window that occurs. With
+    ``slop``, there is also ``near_ids``: the items with a window whose two rarest words occur within so many
+    words. From ``size`` up, these include ``item_ids``.
     """
     keyed = _keyed(docs, id_col, text_col)
     bench = benchmark.select(F.col(item_col).cast("string").alias("item_id"),
                              F.col(item_text_col).cast("string").alias("text")).distinct()
     blocks = max(1, math.ceil(size_in_bytes(bench, "text") / block_bytes))
-    parts = []
+    parts, near = [], []
     for block in range(blocks):
         rows = bench.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).collect()
         named = sorted((str(r["item_id"]), words(r["text"])) for r in rows)
         items = [(i, tokens) for i, (_, tokens) in enumerate(named) if tokens]
         terms = {w: t for t, w in enumerate(sorted({w for _, tokens in items for w in tokens}))}
-        probes = rare_places(items, terms, corpus_counts(keyed, terms), size)
-        wanted = {t for p in probes for t in p[:2]}
+        counts = corpus_counts(keyed, terms)
+        probes = rare_places(items, terms, counts, size)
+        close = near_places(items, terms, counts, size) if slop is not None else set()
+        wanted = {t for p in probes | close for t in p[:2]}
         index = Stored(build_index(keyed, {w: t for w, t in terms.items() if t in wanted}), "postings")
         parts.append(_verify(keyed, alignments(index.df, probes), items, [n for n, _ in named], size))
+        if slop is not None:
+            near.append(Stored(_named_near(proximity(index.df, close, slop), [n for n, _ in named]), "near").df)
         index.drop()
-    return parts[0] if blocks == 1 else _merged(keyed, parts)
+    hits = parts[0] if blocks == 1 else _merged(keyed, parts)
+    return hits if slop is None else _with_near(hits, near)
+
+
+def _named_near(found: DataFrame, names: list[str]) -> DataFrame:
+    """(doc_id, text_hash, item_id) of the items found near a document."""
+    label = F.broadcast(found.sparkSession.createDataFrame(  # bounded by the block of items
+        pd.DataFrame({"item": np.arange(len(names), dtype=np.int32), "item_id": names}), "item int, item_id string"))
+    return found.join(label, "item").select("doc_id", "text_hash", "item_id").distinct()
+
+
+def _with_near(hits: DataFrame, near: list[DataFrame]) -> DataFrame:
+    rows = near[0]
+    for part in near[1:]:
+        rows = rows.unionByName(part)
+    by_doc = rows.groupBy(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).agg(
+        F.array_sort(F.collect_set("item_id")).alias("near_ids"))
+    joined = hits.join(by_doc, hits["doc_id"].eqNullSafe(F.col("_d")) & hits["text_hash"].eqNullSafe(F.col("_h")), "left")
+    return joined.select(*[hits[c] for c in hits.columns], F.coalesce("near_ids", F.array().cast("array<string>")).alias("near_ids"))
 
 
 def contaminated() -> Column:

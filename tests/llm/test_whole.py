@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from adtally.llm import fingerprints, ngram_join, quality
+from adtally.llm import decontamination, fingerprints, ngram_join, quality
 
 
 def test_few_words_reads_the_text_to_its_end():
@@ -72,3 +72,18 @@ def test_short_texts_are_found_in_long_ones(spark):
         assert found[4 * i].like == 1 and found[4 * i + 1].like == 1
         assert found[4 * i].blind is None if found[4 * i].fell else found[4 * i].blind == 1
         assert found[4 * i + 2].like == 0
+
+
+def test_contamination_names_items_near_a_document(spark):
+    item = "rare1 the the the the the the the the the the the rare2"
+    items = spark.createDataFrame([(1, item), (2, "absent " + "of " * 10 + "seldom scarce"), (3, "single"), (4, "the the")],
+                                  "item_id long, text string")
+    docs = [(1, item), (2, "rare2 x x rare1"), (3, "rare1 " + "x " * 20 + "rare2"), (4, "scarce x seldom of"), (None, "rare1 x rare2"),
+            (6, None), (7, "a single one"), (8, "x the"), (9, "rare1 of the")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for block_bytes in (1 << 20, 40):
+        found = decontamination.contamination(frame, items, block_bytes=block_bytes, slop=13).collect()
+        assert {r.doc_id: r.near_ids for r in found} == {
+            1: ["1", "4"], 2: ["1"], 3: [], 4: ["2"], None: ["1"], 6: [], 7: ["3"], 8: ["4"], 9: ["4"]}
+        assert {r.doc_id: r.item_ids for r in found}[1] == ["1", "4"] and len(found) == len(docs)
+    assert "near_ids" not in decontamination.contamination(frame, items).columns
