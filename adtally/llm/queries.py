@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, decontamination, fingerprints, line_dedup, ngram_join, quality, suffix_dedup, token_counts, toxicity
+from . import (alignment, bpe, chat_format, conversation_repair, decontamination, fingerprints, line_dedup, ngram_join, quality, suffix_dedup,
+               sql, token_counts, toxicity, url_reputation)
 from .common import table
 
 
@@ -95,6 +96,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+# fixed values: the rules of op11's query
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+def op11_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules, and where none fits the reputation of the host, from outcomes that the pages' html shows."""
+    done = url_reputation.filter_urls(table(spark, sf_dir, "pages"), URL_RULES, url_reputation.junk_outcome(F.col("html")))
+    return done.select("row.page_id", "host", "path", "rule", "verdict", "labelled", "junk", F.round("bound", 6).alias("bound"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = conversation_repair.damaged(table(spark, sf_dir, "conversations"))
+    return conversation_repair.with_digest(conversation_repair.repair_conversations(given, there="there"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    done = alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    shown = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return done.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", shown.alias("groups_sha256"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -106,9 +130,14 @@ QUERIES = {
     "op8_document_fingerprints": op8_document_fingerprints,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_url_reputation": op11_url_reputation,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 ORACLE = {
+    "op11_url_reputation": sql.URL_REPUTATION,
+    "op12_conversation_repair": sql.CONVERSATION_REPAIR,
     "op2_suffix_array_dedup": r"""
 WITH raw AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
 ), strings AS (
