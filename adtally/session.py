@@ -191,3 +191,42 @@ def size_for_input(spark: SparkSession, paths: list[str]) -> None:
     for k, v in cluster_conf(total, spark.sparkContext.defaultParallelism).items():
         if k not in given:
             spark.conf.set(k, v)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    stream = fs.open(target)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file whole or not at all; False if ``path`` is there already."""
+    fs_package, conf = spark._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    target, draft = fs_package.Path(path), fs_package.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs = target.getFileSystem(conf)
+    stream = fs.create(draft, False)
+    try:
+        stream.write(text.encode())
+    finally:
+        stream.close()
+    no_options = spark.sparkContext._gateway.new_array(getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename"), 0)
+    try:
+        fs_package.FileContext.getFileContext(fs.getUri(), conf).rename(draft, target, no_options)
+        return True
+    except Exception as error:  # noqa: BLE001  the gateway's error type carries the Java one
+        fs.delete(draft, False)
+        if fs.exists(target):
+            return False
+        raise error
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a folder; none if there is no folder."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []

@@ -21,7 +21,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.session import delete_path, scratch_path
+from adtally.session import delete_path, temporary_path
 
 # ---- fixed values: sort keys and partition columns per mart ------------------------------
 MART_LAYOUT: dict[str, tuple[tuple[str, ...], tuple[str, ...]]] = {
@@ -82,6 +82,6 @@ def materialize(name: str, df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` as mart ``name`` (default: a fresh folder under spark.checkpoint.dir) and
     return a DataFrame over the written files; lineage is cut at the write."""
     spark = df.sparkSession
-    path = path or scratch_path(spark, name)
+    path = path or temporary_path(spark, name)
     write_mart(name, df, path)
     return read_table(spark, path, df)

@@ -20,11 +20,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adtally.session import checkpoint_root
+from adtally.session import checkpoint_root, delete_path
+from adtally.sources.ledger import NamedLedger
 from adtally.sources.registry import RAW_TABLES, RawSources, from_testdata
 from adtally.sources.schemas import RAW_SCHEMAS
 
@@ -61,12 +63,33 @@ def load_raw(spark: SparkSession, raw: RawSources, root: str | None = None) -> R
                          for name in RAW_TABLES})
 
 
-def append_batch(spark: SparkSession, batch: DataFrame, path: str, name: str = "ad_events") -> DataFrame:
-    """Append a batch of raw rows to a stored raw table, typed and sorted like its other files; read the table."""
-    schema = RAW_SCHEMAS[name]
-    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    typed.sortWithinPartitions(*RAW_SORT_KEYS[name]).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+def append_batch(spark: SparkSession, batch: DataFrame, path: str, name: str = "ad_events", batch_id: str | None = None) -> DataFrame:
+    """Append a batch of raw rows to a stored raw table, typed and sorted like its other files; read the table.
+
+    With a ``batch_id`` the append can be repeated: the batch is a folder of its own, entered in the table's ledger, and
+    one that is held already is skipped. Without one every call appends.
+    """
+    typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[name].fields]).sortWithinPartitions(*RAW_SORT_KEYS[name])
+    if batch_id is None:
+        typed.write.mode("append").parquet(path)
+    else:
+        ledger = NamedLedger(spark, _batches(path))
+        if batch_id not in ledger.batches():
+            folder = f"batch-{uuid.uuid4().hex[:12]}"
+            typed.write.parquet(f"{_batches(path)}/{folder}")
+            if not ledger.add(batch_id, folder):
+                delete_path(spark, f"{_batches(path)}/{folder}")  # another writer was first
+    return read_raw_table(spark, path, name)
+
+
+def _batches(path: str) -> str:
+    return f"{path.rstrip('/')}.batches"
+
+
+def read_raw_table(spark: SparkSession, path: str, name: str = "ad_events") -> DataFrame:
+    """A stored raw table with the batches that its ledger holds."""
+    appended = [f"{_batches(path)}/{folder}" for folder in NamedLedger(spark, _batches(path)).batches().values()]
+    return spark.read.schema(RAW_SCHEMAS[name]).parquet(path, *appended)
 
 
 def replay_batch(sample: DataFrame, loaded_at: dt.datetime) -> DataFrame:
@@ -75,6 +98,23 @@ def replay_batch(sample: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     return sample.withColumn("_loaded_at", stamp)
 
 
+def literal_rows(spark: SparkSession, name: str, rows: Iterable[Sequence | Mapping]) -> DataFrame:
+    """Rows given as values (in column order) or by column name, typed as raw table ``name``; columns left out are null.
+
+    Values are cast as a load casts them: text to dates, times and numbers; what does not fit raises.
+    """
+    schema = RAW_SCHEMAS[name]
+    names = [f.name for f in schema.fields]
+    made = []
+    for row in rows:
+        given = dict(row) if isinstance(row, Mapping) else dict(zip(names, row, strict=True))
+        if unknown := set(given) - set(names):
+            raise ValueError(f"no such columns in {name}: {sorted(unknown)}")
+        made.append(tuple(None if given.get(n) is None else str(given[n]) for n in names))
+    text = spark.createDataFrame(made, ", ".join(f"`{n}` string" for n in names))
+    return text.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def load_testdata(spark: SparkSession, sf_dir: str) -> RawSources:
     """Derive the raw tables from the driver's parquet and load them (see ``load_raw``)."""
     return load_raw(spark, from_testdata(spark, sf_dir))

@@ -4,16 +4,17 @@ Source: the raw event derivation runs unchanged over ``readStream`` of the event
 the stream and the batch models see identical rows).
 
 No query keeps state or a watermark: the data holds future-dated rows, and a watermark that follows
-them would count all later rows as late and lose them. Every micro-batch is reduced on its own and written
-under its batch id, replacing what an earlier try of the same batch wrote; readers fold the
-batches. So the results equal the batch queries for any order and split of the input.
+them would count all later rows as late and lose them. Every micro-batch is reduced on its own, written
+under its batch id and entered in a ledger (see ``sources/ledger.py``); readers fold the folders that the ledger
+names. So the results equal the batch queries for any order and split of the input, also when batches are replayed.
+Alerts while the stream runs are those of ``streaming/alerts.py``, which keeps state.
 
 * ``ctr_alert_stream``   clicks and impressions per publisher and hour; batches are summed on read.
 * ``dedup_stream``       the newest load of every event id in a batch; of several batches the newest again,
   as the batch model does.
 * ``lag_stream``         load-lag buckets (``_loaded_at - event_timestamp``); batches are summed on read.
 
-``compact`` folds the batches of a stopped stream into one. ``run_available_now`` drives a query over
+``compact`` folds the batches into one, also of a running stream. ``run_available_now`` drives a query over
 everything currently in the source and stops; results land under ``spark.checkpoint.dir``.
 """
 
@@ -26,11 +27,12 @@ from pyspark.sql import functions as F
 
 from adtally.functions.expr import pct, ratio_pct
 from adtally.plans.staging import dedup_events
-from adtally.session import delete_path, is_directory, scratch_path
+from adtally.session import child_names, delete_path, is_directory, temporary_path
 from adtally.sources import fixtures
+from adtally.sources.ledger import BatchLedger
 
 CTR_ALERT_PCT = 5.0  # alert when hourly CTR exceeds 5 %
-COMPACTED = -1  # batch id of folded batches
+COMPACTED = -1  # number of the first folder of folded batches; later ones go down
 
 
 def raw_event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -94,25 +96,44 @@ def newest_loads(batches: DataFrame) -> DataFrame:
 
 # ---- batches on disk ---------------------------------------------------------------------------
 def reduced_batches(path: str, reduce: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function: the reduced batch replaces the folder of its id, so a replay changes nothing."""
+    """A ``foreachBatch`` function: the reduced batch is written to a folder of its id and entered in the ledger.
+
+    A replayed batch that the ledger holds, also in folded form, is skipped; what an earlier try left is replaced.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        reduce(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        ledger = BatchLedger(batch.sparkSession, path)
+        if not ledger.holds(batch_id):
+            reduce(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+            ledger.add(f"batch_id={batch_id}", batch_id)
     return write
 
 
 def read_batches(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    if not is_directory(spark, path):  # no batch yet
+    """Rows of the folders that the ledger names."""
+    return _read_folders(spark, path, list(BatchLedger(spark, path).folders()), like)
+
+
+def _read_folders(spark: SparkSession, path: str, folders: list[str], like: DataFrame) -> DataFrame:
+    if not folders:  # no batch yet
         return spark.createDataFrame([], like.schema)
-    return spark.read.schema(like.schema).option("basePath", path).parquet(path).select(*like.columns)
+    return spark.read.schema(like.schema).parquet(*[f"{path}/{f}" for f in folders]).select(*like.columns)
 
 
 def compact(spark: SparkSession, path: str, like: DataFrame, fold: Callable[[DataFrame], DataFrame]) -> None:
-    """Fold all batches of a stopped stream into one folder."""
-    whole = scratch_path(spark, "compacted")
-    fold(read_batches(spark, path, like)).select(*like.columns).write.parquet(whole)
-    delete_path(spark, path)
-    spark.read.schema(like.schema).parquet(whole).write.parquet(f"{path}/batch_id={COMPACTED}")
-    delete_path(spark, whole)
+    """Fold the batches into one folder, also while the stream runs.
+
+    The folded folder is written under a new number below zero, the ledger then names it in place of the others, and these
+    are deleted last. A crash at any point leaves readers with one of the two states.
+    """
+    ledger = BatchLedger(spark, path)
+    folders = list(ledger.folders())
+    if not folders:
+        return
+    number = min([COMPACTED + 1, *[int(name.split("=")[1]) for name in child_names(spark, path) if name.startswith("batch_id=")]]) - 1
+    fold(_read_folders(spark, path, folders, like)).select(*like.columns).write.mode("overwrite").parquet(f"{path}/batch_id={number}")
+    ledger.fold(folders, f"batch_id={number}")
+    for folder in folders:
+        delete_path(spark, f"{path}/{folder}")
 
 
 def run_available_now(query_builder, checkpoint: str) -> None:
@@ -131,17 +152,17 @@ def _run(spark: SparkSession, sf_dir: str, out: str, reduce, max_files: int | No
 
 def ctr_alert_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
     """Run the hourly CTR stream to the end of the available input; return its table."""
-    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_ctr_alert"), ctr_counts, max_files)
+    data, like = _run(spark, sf_dir, out or temporary_path(spark, "stream_ctr_alert"), ctr_counts, max_files)
     return ctr_windows(sum_ctr_counts(read_batches(spark, data, like)))
 
 
 def dedup_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
     """Retry-copy dedup on the stream; returns the deduplicated events (without _loaded_at)."""
-    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_dedup"), newest_loads, max_files)
+    data, like = _run(spark, sf_dir, out or temporary_path(spark, "stream_dedup"), newest_loads, max_files)
     return newest_loads(read_batches(spark, data, like)).drop("_loaded_at")
 
 
 def lag_stream(spark: SparkSession, sf_dir: str, out: str | None = None, max_files: int | None = None) -> DataFrame:
     """J3 (stream): load-lag buckets of everything available."""
-    data, like = _run(spark, sf_dir, out or scratch_path(spark, "stream_lag"), lag_counts, max_files)
+    data, like = _run(spark, sf_dir, out or temporary_path(spark, "stream_lag"), lag_counts, max_files)
     return sum_lag_counts(read_batches(spark, data, like))
