@@ -23,6 +23,7 @@ from adtally.functions.expr import money_sum
 from adtally.plans import marts, staging
 from adtally.plans.models import Models
 from adtally.sources import io
+from adtally.sources.event_store import EventStore
 from adtally.sources.registry import RawSources
 
 # ---- fixed values: defaults for the registered incremental / retention queries -----------
@@ -68,6 +69,12 @@ def update_fact_table(raw: RawSources, path: str, since: dt.datetime) -> DataFra
     return io.read_table(raw.spark, path, changed)
 
 
+def repeated_since(store: EventStore, since: dt.datetime = INCREMENTAL_SINCE) -> DataFrame:
+    """F1 / G1 for the loads after ``since``: their ids that are not unique, tested against the earlier loads' index."""
+    earlier = [b for b in store.ledger.batches() if b != "after"]
+    return store.repeated_ids(store.after(since), batches=earlier)
+
+
 def mart_roundtrip(m: Models) -> DataFrame:
     """Materialise the daily fact (partitioned by date, sorted by key) and read it back."""
     return io.materialize("fct_ad_events_daily", m.fct_ad_events_daily)
