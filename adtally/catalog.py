@@ -10,11 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from adtally.plans import charts
+from adtally.plans import charts, incremental
+from adtally.plans.live_fact import LiveFact
 from adtally.plans.models import Models
 from adtally.plans.pipeline import build_marts
 from adtally.session import delete_path, file_listing, temporary_path
+from adtally.sources.event_store import EventStore, as_ntz
 from adtally.sources.load import load_raw
 from adtally.sources.registry import from_testdata
 
@@ -70,6 +73,21 @@ def marts_for(spark: SparkSession, sf_dir: str) -> Models:
     return _bound(spark, sf_dir, "marts", lambda root: build_marts(raw, root))
 
 
+def live_for(spark: SparkSession, sf_dir: str) -> LiveFact:
+    """Event store and kept fact as of the incremental query's load time; later loads are stored but not applied."""
+    raw, since = models_for(spark, sf_dir).raw, as_ntz(incremental.INCREMENTAL_SINCE)
+
+    def build(root: str) -> Models:
+        store, loaded = EventStore(spark, f"{root}/store"), F.col("_loaded_at")
+        store.load(raw.ad_events.where(loaded <= since), "until")
+        fact = LiveFact(store, f"{root}/fact")
+        fact.run()
+        store.load(raw.ad_events.where(loaded > since), "after")
+        return Models(None, overrides={"live": fact})
+
+    return _bound(spark, sf_dir, "live", build).live
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     if name in STREAMS:  # streams read the event files themselves, no raw load needed
         return STREAMS[name](spark, sf_dir)
@@ -113,17 +131,24 @@ for _name in ("country_case_anomalies", "domain_mismatch", "future_events", "orp
     register(_name, stored=True)(getattr(anomalies, _name))
 
 # ---- time series / extensions -----------------------------------------------------------------
-for _name in ("publishers_scd2", "rolling_7d_metrics", "rolling_30d_metrics", "device_performance",
+for _name in ("publishers_scd2", "rolling_7d_metrics", "rolling_30d_metrics", "rolling_7d_filled", "device_performance",
               "geo_revenue", "valid_vs_total_traffic", "dim_dates", "publisher_cohorts"):
     register(_name, stored=True)(getattr(timeseries, _name))
 
-# ---- materialisation / incremental / retention ------------------------------------------------
-from adtally.plans import incremental  # noqa: E402
+from adtally.plans import distinct, history  # noqa: E402
+
+register("distinct_by_span")(distinct.distinct_by_span)
+register("publishers_scd2_incremental", stored=True)(history.publishers_scd2_incremental)
+register("revenue_by_publisher_version", stored=True)(history.revenue_by_publisher_version)
 
-for _name in ("mart_roundtrip", "fct_daily_incremental", "retention_split"):
+# ---- materialisation / incremental / retention ------------------------------------------------
+for _name in ("mart_roundtrip", "retention_split"):
     register(_name)(getattr(incremental, _name))
+register("dup_event_ids_incremental")(lambda m: incremental.repeated_since(live_for(m.raw.spark, m.sf_dir).store))
+register("fct_daily_incremental")(lambda m: live_for(m.raw.spark, m.sf_dir).touched_by(incremental.INCREMENTAL_SINCE))
 
 # ---- streaming ------------------------------------------------------------------------------------
+from adtally.streaming import alerts as streaming_alerts  # noqa: E402
 from adtally.streaming import jobs as streaming_jobs  # noqa: E402
 
 
@@ -131,6 +156,7 @@ STREAMS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ctr_alert": streaming_jobs.ctr_alert_stream,
     "stream_dedup": streaming_jobs.dedup_stream,
     "stream_late_arrival_lag": streaming_jobs.lag_stream,
+    "stream_live_alerts": streaming_alerts.live_alert_stream,
 }
 
 register("late_arrival_lag")(lambda m: streaming_jobs.lag_counts(m.raw.ad_events))

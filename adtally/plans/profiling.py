@@ -35,13 +35,16 @@ def duplicate_rate(m: Models, alert_pct: float = DUPLICATE_ALERT_PCT) -> DataFra
                      .otherwise(F.lit(False)).alias("duplicate_alert"))
 
 
-def duplicate_nature(m: Models) -> DataFrame:
+def duplicate_nature(m: Models, salts: int = 16) -> DataFrame:
     """for each duplicated id, how many distinct timestamps / revenues / load times.
 
-    The few repeated ids are found first; only their rows are expanded for the distinct counts.
+    The few repeated ids are found first; only their rows are expanded for the distinct counts. Rows meet their id by id
+    and salt, so the copies of a hot id are dealt to as many tasks; the distinct counts then shuffle by id and value.
     """
-    repeated = m.raw.ad_events.join(dup_event_ids(m).select("event_id"), "event_id", "left_semi")
-    return repeated.groupBy("event_id").agg(
+    salt = F.pmod(F.xxhash64("event_timestamp", "revenue_usd", "_loaded_at", "publisher_id"), F.lit(salts)).cast("int")
+    repeated = dup_event_ids(m).select("event_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    rows = m.raw.ad_events.select("event_id", "event_timestamp", "revenue_usd", "_loaded_at", salt.alias("salt"))
+    return rows.join(repeated, ["event_id", "salt"], "left_semi").groupBy("event_id").agg(
         F.count(F.lit(1)).alias("cnt"),
         F.count_distinct("event_timestamp").alias("distinct_timestamps"),
         F.count_distinct("revenue_usd").alias("distinct_revenues"),

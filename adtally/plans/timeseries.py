@@ -9,7 +9,9 @@ events, with a RANGE frame on the day number so missing days are handled correct
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adtally.functions.expr import money_sum, pct, pct_nullif
@@ -17,6 +19,9 @@ from adtally.operators.dedup import version_history
 from adtally.plans.models import Models
 
 
+ROLLING_BLOCK = 4  # a block of days is this many windows long
+
+
 def publishers_scd2(m: Models) -> DataFrame:
     """Every publisher version with valid_from / valid_to (NULL = current)."""
     return version_history(m.raw.publishers, ["publisher_id"], "updated_at").select(
@@ -24,23 +29,54 @@ def publishers_scd2(m: Models) -> DataFrame:
         "country", "valid_from", "valid_to", "is_current")
 
 
-def rolling_metrics(m: Models, days: int) -> DataFrame:
-    """C4: trailing ``days``-day sums per publisher (inclusive of the current day)."""
-    perf = m.fct_publisher_performance.withColumn("day_no", F.unix_date("event_date"))
-    w = Window.partitionBy("publisher_id").orderBy("day_no").rangeBetween(-(days - 1), 0)
-    r = perf.select(
-        "event_date", "publisher_id",
+def halo_blocks(day: Column, days: int, block_days: int) -> Column:
+    """The blocks of days that need a day's row: its own, and the next if its windows reach back to the row."""
+    own = F.floor(day / block_days).cast("int")
+    reaches = F.pmod(day, F.lit(block_days)) > block_days - days
+    return F.when(reaches, F.array(own, own + 1)).otherwise(F.array(own))
+
+
+def with_missing_days(perf: DataFrame, counts: Sequence[str]) -> DataFrame:
+    """Publisher-days with a row of zeros for every day between a publisher's first and last that has none."""
+    span = perf.groupBy("publisher_id").agg(F.min("event_date").alias("first"), F.max("event_date").alias("last"))
+    kinds = dict(perf.dtypes)
+    zeros = span.select(F.explode(F.sequence("first", "last")).alias("event_date"), "publisher_id",
+                        *[F.lit(0).cast(kinds[c]).alias(c) for c in counts], F.lit(0).alias("active"))
+    every = perf.select("event_date", "publisher_id", *counts, F.lit(1).alias("active")).unionByName(zeros)
+    return every.groupBy("event_date", "publisher_id").agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in counts], F.max("active").alias("active"))
+
+
+def rolling_metrics(m: Models, days: int, missing_days: bool = False) -> DataFrame:
+    """C4: trailing ``days``-day sums per publisher (inclusive of the current day).
+
+    A publisher's days are cut in blocks, and the last ``days - 1`` days of a block are given to the next as well, so windows
+    of one publisher are spread over tasks however long its history is. ``missing_days`` adds the days without events.
+    """
+    counts = ["impressions", "clicks", "filled_impressions", "total_revenue_usd"]
+    perf = m.fct_publisher_performance
+    perf = with_missing_days(perf, counts) if missing_days else perf.select("event_date", "publisher_id", *counts, F.lit(1).alias("active"))
+    day = F.unix_date("event_date")
+    block_days = ROLLING_BLOCK * days
+    placed = perf.select("*", day.alias("day_no"), F.explode(halo_blocks(day, days, block_days)).alias("block"))
+    w = Window.partitionBy("publisher_id", "block").orderBy("day_no").rangeBetween(-(days - 1), 0)
+    r = placed.select(
+        "event_date", "publisher_id", "block", "day_no",
         F.sum("impressions").over(w).alias("impressions"),
         F.sum("clicks").over(w).alias("clicks"),
         F.sum("filled_impressions").over(w).alias("filled_impressions"),
         F.sum("total_revenue_usd").over(w).cast("decimal(38,6)").alias("revenue"),
-        F.count(F.lit(1)).over(w).alias("active_days"))
+        F.sum("active").over(w).alias("active_days")).where(F.col("block") == F.floor(F.col("day_no") / block_days))
     return r.select("event_date", "publisher_id", F.lit(days).alias("window_days"), "impressions", "clicks",
                     "revenue", "active_days",
                     pct("clicks", "impressions", 4).alias("ctr_pct"),
                     pct("filled_impressions", "impressions", 2).alias("fill_rate_pct"))
 
 
+def rolling_7d_filled(m: Models) -> DataFrame:
+    """C4 with the days on which a publisher had no events."""
+    return rolling_metrics(m, 7, missing_days=True)
+
+
 def rolling_7d_metrics(m: Models) -> DataFrame:
     return rolling_metrics(m, 7)
 
