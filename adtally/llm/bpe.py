@@ -4,12 +4,14 @@ The vocabulary file (a path) gives tokens, merges and special tokens. Texts are
 tokens, normalised (NFC, white space runs to a space, lower case), cut into words, and each word is
 spelt in bytes, the last with a word-end mark, and merged.
 
-1. The words of the whole corpus are counted; the ``LEXICON_WORDS`` most frequent ones are encoded once.
+1. The words of the whole corpus are counted; the ``LEXICON_WORDS`` most frequent ones are encoded once (each task
+   keeps that many at most, so the driver gets a bounded number).
 2. They are compiled into a minimal automaton: equal suffixes share states. Every transition carries
    an output, and the outputs along a word's path sum up to its number, which leads to its ids.
 3. The automaton has a fixed bound (words times letters); it is broadcast as one block of bytes, and
    every worker maps it into memory from an unnamed file.
-4. Words that the automaton does not accept are merged exactly, by the lowest rank first, leftmost first.
+4. Words that the automaton does not accept are merged exactly, by the lowest rank first, leftmost first; long ones
+   with a heap, in n log n steps.
 
 A worker also keeps the ids of words it met, of the rare ones ``CACHE_WORDS`` at most. Decoding joins the tokens of the ids.
 
@@ -28,6 +30,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from itertools import chain
 
 import numpy as np
@@ -40,6 +43,7 @@ from .common import Stored, id_text
 
 LEXICON_WORDS = 65_536
 CACHE_WORDS = 150_000
+SHORT_WORD = 64  # bytes, up to which a list is faster than a heap
 END = "</w>"
 _NO_MERGE = 1 << 62
 _BYTES = [bytes([b]) for b in range(256)]
@@ -82,6 +86,8 @@ class Vocabulary:
 
 def merged(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
     """Ids of one word: merge the pair of lowest rank, leftmost first, until none is left."""
+    if len(word) > SHORT_WORD:
+        return _merged_long(word, vocabulary)
     inner, get = vocabulary.inner, vocabulary.merges.get
     symbols = [inner[b] for b in word]
     symbols[-1] = vocabulary.final[word[-1]]
@@ -100,6 +106,31 @@ def merged(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
     return tuple(symbols)
 
 
+def _merged_long(word: bytes, vocabulary: Vocabulary) -> tuple[int, ...]:
+    """The same in n log n steps: linked symbols, and a heap of pairs by rank and place."""
+    inner, get = vocabulary.inner, vocabulary.merges.get
+    symbols = [inner[b] for b in word]
+    symbols[-1] = vocabulary.final[word[-1]]
+    n = len(symbols)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(value, i) for i, value in enumerate(get(a << 32 | b) for a, b in zip(symbols, symbols[1:])) if value is not None]
+    heapify(heap)
+    while heap:
+        value, i = heappop(heap)
+        j = after[i]
+        if symbols[i] < 0 or j == n or get(symbols[i] << 32 | symbols[j]) != value:
+            continue  # one of the two was merged meanwhile
+        symbols[i], symbols[j] = value & 0xFFFFFFFF, -1
+        after[i] = following = after[j]
+        if following < n:
+            before[following] = i
+            if (pair := get(symbols[i] << 32 | symbols[following])) is not None:
+                heappush(heap, (pair, i))
+        if (left := before[i]) >= 0 and (pair := get(symbols[left] << 32 | symbols[i])) is not None:
+            heappush(heap, (pair, left))
+    return tuple(x for x in symbols if x >= 0)
+
+
 class Splitter:
     """Cut a text into words and special tokens."""
 
@@ -230,15 +261,8 @@ def word_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def frequent_words(counts: DataFrame, limit: int) -> list[str]:
-    """The most frequent words, ``limit`` at most: all that occur more often than the first count that would exceed it."""
-    steps = counts.groupBy(F.least("n", F.lit(1 << 20)).alias("n")).agg(F.count("*").alias("words")).orderBy(F.desc("n")).collect()
-    held, least = 0, 1 << 62
-    for step in steps:
-        held += step["words"]
-        if held > limit:
-            break
-        least = step["n"]
-    return [r["word"] for r in counts.where(F.col("n") >= least).select("word").collect()]
+    """The ``limit`` most frequent words (all, if there are fewer); of equally frequent ones the first by their letters."""
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(limit).select("word").collect()]
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_WORDS, text_col: str = "text") -> bytes:

@@ -25,6 +25,14 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, also in other case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def long_array(values: list[int]) -> Column:
     """Literal array of longs."""
     return F.array(*[F.lit(int(v)).cast("long") for v in values])

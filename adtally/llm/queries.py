@@ -16,10 +16,10 @@ from .common import table
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from the labelled rows that are not held out only."""
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))  # a null id has no remainder
     done = toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where(~held_out))
     return done.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
-                       F.size("spans").cast("long").alias("n_spans"))
+                       F.size("spans").cast("long").alias("n_spans"), "spans")
 
 
 def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,8 @@ def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
         fingerprints.fingerprint(F.col("sketch")).alias("fingerprint"),
         fingerprints.fingerprint(F.col("edited_sketch")).alias("edited_fingerprint"),
-        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch"), F.col("text"), F.col("edited_text")).alias("near_edited"),
-        fingerprints.likeness(F.col("sketch"), F.col("next_sketch"), F.col("text"), F.col("next_text")).alias("near_next"))
+        fingerprints.likeness(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near_next"))
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,6 +30,8 @@ import tiktoken
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import free_name
+
 RULES = ("majority", "start", "share")
 SPANS = "array<struct<section:long,begin:long,end:long>>"
 COUNTS = "doc_id long, section long, begin long, end long, n_tokens double, n_crossing long"
@@ -150,6 +152,7 @@ def count_tokens(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col:
 
 def with_span_table(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Documents with a column ``spans`` gathered from a table (id, section, begin, end); a document's spans meet in one row."""
-    gathered = spans.groupBy(F.col(id_col).alias("_id")).agg(
+    of = free_name(docs, "spans_of")
+    gathered = spans.groupBy(F.col(id_col).alias(of)).agg(
         F.collect_list(F.struct("section", "begin", "end")).cast(SPANS).alias("spans"))
-    return docs.join(gathered, F.col(id_col).eqNullSafe(F.col("_id")), "left").drop("_id")
+    return docs.join(gathered, F.col(id_col).eqNullSafe(F.col(of)), "left").drop(of)
