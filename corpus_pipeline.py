@@ -13,7 +13,7 @@ a row with a null id is a document like any other; repeated rows stay once after
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adtally.llm import bpe, decontamination, line_dedup, ngram_join, quality
@@ -32,21 +32,26 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return done.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
+def _without(docs: DataFrame, text_hash: Column, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and hash are not in ``gone`` (doc_id, text_hash); the rows travel as one struct, so
+    no column of theirs can clash with those of the join."""
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("kept"), F.col("doc_id").alias("kept_id"), text_hash.alias("kept_hash"))
+    same = F.col("kept_id").eqNullSafe(F.col("gone_id")) & F.col("kept_hash").eqNullSafe(F.col("gone_hash"))
+    left = rows.join(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")), same, "left_anti")
+    return left.select(*[F.col(f"kept.`{c}`").alias(c) for c in docs.columns])
+
+
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    spare = Stored(ngram_join.spare_rows(docs, size=5, percent=80).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")), "spare")
-    text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    kept = docs.join(spare.df, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash == F.col("_hash")), "left_anti").select(*docs.columns)
-    repeated = docs.groupBy("doc_id").count().where("count > 1").limit(1).count()
+    spare = Stored(ngram_join.spare_rows(docs, size=5, percent=80).select("doc_id", "text_hash"), "spare")
+    kept = _without(docs, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))), spare.df)
+    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    spoilt = Stored(found.where(decontamination.contaminated()).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "spoilt")
-    return docs.join(spoilt.df, F.col("doc_id").eqNullSafe(F.col("_id"))
-                     & F.xxhash64("text").eqNullSafe(F.col("_hash")), "left_anti").select(*docs.columns)
+    spoilt = Stored(found.where(decontamination.contaminated()).select("doc_id", "text_hash").distinct(), "spoilt")
+    return _without(docs, F.xxhash64("text"), spoilt.df)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
