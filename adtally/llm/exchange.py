@@ -32,8 +32,9 @@ def chunk_count(total_bytes: int, chunk_bytes: int = CHUNK_BYTES) -> int:
 
 
 def with_chunk(docs: DataFrame, chunks: int) -> DataFrame:
-    """Deal rows into chunks by id (null ids: chunk of the null hash)."""
-    return docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id"), F.lit(chunks)).cast("int"))
+    """Deal rows into chunks by id, rows without id by their text."""
+    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
+    return docs.withColumn("chunk", F.pmod(key, F.lit(chunks)).cast("int"))
 
 
 def pack(hashes: np.ndarray) -> bytes:

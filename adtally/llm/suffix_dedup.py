@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,13 +137,12 @@ class Chunk:
         # columns: the bytes from anchor - before to anchor + length, zero where no string of the anchor reaches
         columns = np.arange(self.before + self.length)
         low, high = self.first[cool] - self.at[cool] + self.before, self.last[cool] - self.at[cool] + self.before
-        rows = padded[self.at[cool, None] + columns]
+        rows = sliding_window_view(padded, len(columns))[self.at[cool]]
         rows[(columns < low[:, None]) | (columns >= high[:, None] + self.length)] = 0
         rows = np.concatenate([rows, low[:, None].astype(np.uint8), high[:, None].astype(np.uint8)], axis=1)
         starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(self.first[hot].tolist(), self.last[hot].tolist())]) if len(hot) else np.zeros(0, np.int64)
         owner = np.repeat(hot, self.last[hot] - self.first[hot] + 1)
-        strings = self.data[starts[:, None] + np.arange(self.length)] if len(starts) else np.zeros((0, self.length), np.uint8)
-        return (cool, distinct_rows(rows, self.id_of[self.doc[cool]])), (starts, owner, distinct_rows(strings, self.id_of[self.doc[owner]]))
+        return (cool, distinct_rows(rows, self.id_of[self.doc[cool]])), (starts, owner, distinct_strings(self.data, starts, self.length, self.id_of[self.doc[owner]]))
 
 
 def row_hashes(rows: np.ndarray) -> np.ndarray:
@@ -169,6 +169,22 @@ def distinct_rows(rows: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return rows[first], least, inverse
 
 
+def distinct_strings(data: np.ndarray, starts: np.ndarray, length: int, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``distinct_rows`` for the strings that start at some places: only distinct ones are gathered, by their hashes;
+    the others are compared with them in segments."""
+    if not len(starts):
+        return np.zeros((0, length), np.uint8), ids, starts
+    windows = sliding_window_view(data, length)
+    _, first, inverse = np.unique(gram_hashes(data, length)[starts], return_index=True, return_inverse=True)
+    rows = windows[starts[first]]
+    segments = (slice(i, i + SEGMENT) for i in range(0, len(starts), SEGMENT))
+    if not all(np.array_equal(windows[starts[s]], rows[inverse[s]]) for s in segments):  # equal hashes of different strings
+        return distinct_rows(windows[starts], ids)
+    least = np.full(len(first), np.iinfo(np.int64).max)
+    np.minimum.at(least, inverse, ids)
+    return rows, least, inverse
+
+
 def words_of(columns: np.ndarray) -> np.ndarray:
     """Rows of bytes as big-endian words of eight, zero-padded."""
     padded = np.zeros((len(columns), -(-columns.shape[1] // 8) * 8), np.uint8)
