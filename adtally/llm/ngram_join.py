@@ -14,11 +14,13 @@ Equal sets are joined first (one representative goes on). Index lists are then r
 
 * lists of up to ``SHORT_LIST`` sets give pairs; size and a parity bitmap (the bits that differ never
   outnumber the tokens that differ) drop most of the wrong ones, and what remains joins up to small groups;
-* longer lists are groups of their own, lists with the same first member (by hash) one group together, dealt into
-  blocks of ``BLOCK_SETS`` sets and pairs of blocks.
+* longer lists are groups of their own, lists with the same first member (by hash) one group together.
 
-Each group is verified in one task from the exact token sets, which emits a link only where it joins
-two parts of the group, never all pairs. Components over these links are the answer: a link that is
+A group of up to ``BLOCK_SETS`` sets and ``BLOCK_BYTES`` is verified in one task from the exact token sets. A larger one is dealt into
+blocks, each compared with the group's first set, so near copies cost their own size once; only sets that are not linked with the
+first one meet all others, in pairs of blocks.
+
+A link is emitted only where it joins two parts of a group, never all pairs. Components over these links are the answer: a link that is
 not emitted has both ends in one component already.
 
 Defined results: null text: empty; texts without words have no tokens and link with nothing; a text
@@ -32,8 +34,9 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import Stored, id_text, size_in_bytes
@@ -42,7 +45,8 @@ from .exchange import (ANSWER, ASK, RANGE_HASHES, answer_by_count, ask, chunk_co
 
 SIZE, PERCENT = 5, 80
 FREQUENT, VERY_FREQUENT = 16, 1024  # documents that hold a token of the classes with k = 2 and k = 3
-SHORT_LIST, BLOCK_SETS = 64, 1024
+SHORT_LIST = 64
+BLOCK_SETS, BLOCK_BYTES = 1024, 8 << 20  # sets that one task compares with each other, and their bytes
 BITMAP_BITS = 1024
 BROADCAST_BYTES = 8 << 20
 PROFILE = "doc_id long, text_hash long, node string, n long, bitmap array<long>, keys array<long>"
@@ -222,6 +226,54 @@ def _verify(percent: int):
     return verify
 
 
+def _star(percent: int):
+    """Whether each set of a block is linked with its group's first one: rows (name, node, rep, linked)."""
+    def compare(table: pa.Table) -> pa.Table:
+        first = pa.compute.index(table.column("is_first"), True).as_py()
+        rep = table.column("node")[first].as_py()
+        center = np.frombuffer(table.column("tokens")[first].as_buffer(), np.uint64)
+        nodes, linked = [], []
+        for node, is_first, packed in zip(table.column("node").to_pylist(), table.column("is_first").to_pylist(), table.column("tokens")):
+            if node != rep and not is_first:
+                tokens = np.frombuffer(packed.as_buffer(), np.uint64)
+                at = np.minimum(np.searchsorted(center, tokens), len(center) - 1)
+                shared = int((center[at] == tokens).sum())
+                nodes.append(node)
+                linked.append(100 * shared >= percent * (len(tokens) + len(center) - shared))
+        n = len(nodes)
+        return pa.table({"name": pa.array(table.column("name").to_pylist()[:1] * n, pa.string()), "node": pa.array(nodes, pa.string()),
+                         "rep": pa.array([rep] * n, pa.string()), "linked": pa.array(linked, pa.bool_())})
+
+    return compare
+
+
+def _large_group_links(members: DataFrame, tokens: DataFrame, percent: int) -> tuple[DataFrame, list[Stored]]:
+    """Links (a, b) that span the groups of ``members`` (name, node, n, cut), which are larger than a block.
+
+    Each block of a group is compared with the group's first set, so a group of near copies takes time in proportion to its
+    sets. Only sets that are not linked with it are then compared with all others, block by block.
+    """
+    block = F.pmod(F.xxhash64("node"), F.col("cut")).cast("int")
+    rows = members.select("name", "node", block.alias("block"), F.lit(False).alias("is_first"))
+    firsts = members.groupBy("name", "cut").agg(F.min_by("node", F.xxhash64("node")).alias("node")).select(
+        "name", "node", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("block"), F.lit(True).alias("is_first"))
+    star = Stored(rows.unionByName(firsts).join(tokens, "node").select("name", "block", "node", "is_first", "tokens")
+                  .groupBy("name", "block").applyInArrow(_star(percent), "name string, node string, rep string, linked boolean"), "star")
+    apart = star.df.where("NOT linked").select("name", "node").join(members, ["name", "node"])
+    sizes = apart.groupBy("name").agg(_blocks("n").alias("open_cut"), F.first("cut").alias("all_cut"))
+    open_side = apart.join(sizes.select("name", "open_cut"), "name").select("name", "node", F.pmod(F.xxhash64("node"), F.col("open_cut")).cast("int").alias("i"),
+                                                                             F.explode(F.sequence(F.lit(0), F.col("cut") - 1)).alias("j"))
+    all_side = members.join(sizes.select("name", "open_cut"), "name").select("name", "node", F.explode(F.sequence(F.lit(0), F.col("open_cut") - 1)).alias("i"), block.alias("j"))
+    rest = (open_side.unionByName(all_side).distinct().join(tokens, "node").select("name", "i", "j", "node", "tokens")
+            .groupBy("name", "i", "j").applyInArrow(_verify(percent), "a string, b string"))
+    return star.df.where("linked").select(F.col("rep").alias("a"), F.col("node").alias("b")).unionByName(rest), [star]
+
+
+def _blocks(n: str) -> Column:
+    """Blocks of a group by its sets' number and bytes."""
+    return F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum(F.col(n) * 8) / BLOCK_BYTES)).cast("int")
+
+
 def _token_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """(node, tokens) of the wanted representatives (doc_id, node), computed again from their texts."""
     held = wanted.agg(F.count("*") * 64).first()[0]
@@ -259,21 +311,18 @@ def _named_rows(docs: DataFrame, id_col: str, text_col: str, size: int, percent:
     # the many lists of one hot group hold nearly the same sets: lists with the same first member (by hash) are one
     long_lists = lists.join(counted.where(F.col("m") > SHORT_LIST), "key").select(
         F.concat(F.lit("k"), F.col("first").cast("string")).alias("name"), "node").distinct()
-    members = Stored(groups.unionByName(long_lists), "members")
-    # only groups over BLOCK_SETS are cut: at most one for each BLOCK_SETS members, so few that they are broadcast
-    large = Stored(members.df.groupBy("name").agg(F.ceil(F.count("*") / BLOCK_SETS).cast("int").alias("cut")).where("cut > 1"), "large")
-    few = large.df.count() <= BROADCAST_BYTES // 64
-    blocks = F.coalesce("cut", F.lit(1))
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = members.df.join(F.broadcast(large.df) if few else large.df, "name", "left").withColumn("block", block).select(
-        "name", "node", F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda j: F.struct(
-            F.least(j, F.col("block")).alias("low"), F.greatest(j, F.col("block")).alias("high")))).alias("side"))
+    members = Stored(groups.unionByName(long_lists).join(sets.df.select("node", "n"), "node").select("name", "node", "n"), "members")
+    # groups over a block are few: at most one for each BLOCK_SETS members or BLOCK_BYTES of their sets
+    large = Stored(members.df.groupBy("name").agg(_blocks("n").alias("cut")).where("cut > 1"), "large")
+    some = F.broadcast(large.df) if large.df.count() <= BROADCAST_BYTES // 64 else large.df
     wanted = sets.df.join(members.df.select("node").distinct(), "node", "left_semi").select("doc_id", "node")
     tokens = Stored(_token_sets(base, wanted, size), "tokens")
-    links = Stored(dealt.join(tokens.df, "node").select("name", "side", "node", "tokens")
-                   .groupBy("name", "side").applyInArrow(_verify(percent), "a string, b string"), "links")
+    in_block = (members.df.join(some, "name", "left_anti").join(tokens.df, "node").select("name", "node", "tokens")
+                .groupBy("name").applyInArrow(_verify(percent), "a string, b string"))
+    spanning, spent_too = _large_group_links(members.df.join(some, "name"), tokens.df, percent)
+    links = Stored(in_block.unionByName(spanning), "links")
     roots = components(links.df).withColumnRenamed("node", "linked")
-    for spent in (pairs, members, large, tokens, links):
+    for spent in (pairs, members, large, tokens, links, *spent_too):
         spent.drop()
     return rows.df.select("doc_id", "text_hash", "n", "node").join(roots, F.col("node") == F.col("linked"), "left").select(
         "doc_id", "text_hash", "n", F.coalesce("root", "node").alias("name"))

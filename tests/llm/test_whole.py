@@ -9,6 +9,7 @@ import corpus_pipeline
 from adtally.llm import bpe, decontamination, fingerprints, ngram_join, quality, queries, token_counts
 from adtally.session import scratch_path
 from tests.conftest import SF_SMALL
+from tests.llm import plain
 
 
 def test_few_words_reads_the_text_to_its_end():
@@ -191,3 +192,63 @@ def test_op1_null_ids_are_not_held_out_and_spans_are_returned(spark):
     assert any(r.spans for r in rows)
     for r in rows:
         assert len(r.spans) == r.n_spans and all(0 <= s.begin < s.end <= len(texts[r.doc_id]) for s in r.spans if r.doc_id is not None)
+
+
+def test_large_groups_of_copies_and_of_others_keep_every_link(spark, monkeypatch):
+    """Groups cut by number and by bytes: near copies of one text, a chain of versions, and sets that share frequent tokens only."""
+    monkeypatch.setattr(ngram_join, "BLOCK_SETS", 8)
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(ngram_join, "SHORT_LIST", 4)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(60)]
+    copies = [base[:i] + [f"x{i}"] + base[i + 1:] for i in range(60)]
+    chain, versions = list(base), []
+    for i in range(60):
+        chain = chain[:i] + [f"c{i}"] + chain[i + 1:]
+        versions.append(list(chain))
+    others = [rng.sample(base, 40) for _ in range(30)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(copies + versions + others)]
+    rng.shuffle(rows)
+    for percent in (80, 90):
+        found = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.link_components(
+            spark.createDataFrame(rows, "doc_id long, text string"), size=1, percent=percent).collect()}
+        assert found == plain.jaccard_components(sorted(rows), 1, percent)
+
+
+def test_rows_without_id_are_dealt_by_their_text(spark):
+    from adtally.llm.exchange import with_chunk
+
+    docs = spark.createDataFrame([(None, f"text {i}") for i in range(400)] + [(1, "a"), (1, "b")], "doc_id long, text string")
+    chunks = with_chunk(docs, 16).where("doc_id IS NULL").groupBy("chunk").count().collect()
+    assert len(chunks) == 16 and max(r["count"] for r in chunks) < 100
+    assert with_chunk(docs, 16).where("doc_id = 1").select("chunk").distinct().count() == 1
+
+
+def peak_mb(code):
+    """Peak memory of a process that runs some code, above that of its imports."""
+    import subprocess
+    import sys
+    head = "import resource, numpy as np, pyarrow as pa\nfrom adtally.llm import suffix_dedup, ngram_join\n"
+    peak = "resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024"
+    run = subprocess.run([sys.executable, "-c", f"{head}first = {peak}\n{code}\nprint({peak} - first)"], capture_output=True, text=True, check=True, timeout=200)
+    return int(run.stdout.split()[-1])
+
+
+def test_a_chunk_of_hot_strings_stays_small():
+    assert peak_mb("""
+rng = np.random.default_rng(1)
+text = "".join(map(chr, rng.integers(97, 123, 2 << 20)))
+chunk = suffix_dedup.Chunk(pa.table({"doc_id": pa.array([1], pa.int64()), "text": [text]}), 50, 20)
+cool, hot = chunk.repeating(np.full(len(chunk.grams), 2, np.uint8))
+assert len(hot[0]) == len(text) - 49
+""") < 800
+
+
+def test_a_block_of_long_near_copies_stays_small():
+    assert peak_mb("""
+base = np.arange(20_000, dtype=np.uint64) * 7919
+rows = [(str(i), np.sort(np.append(np.delete(base, i), np.uint64(10 ** 12 + i))).tobytes()) for i in range(ngram_join.BLOCK_BYTES // 160_000)]
+table = pa.table({"name": ["g"] * len(rows), "node": [r[0] for r in rows], "is_first": [i == 0 for i in range(len(rows))], "tokens": pa.array([r[1] for r in rows], pa.binary())})
+assert sum(ngram_join._star(80)(table).column("linked").to_pylist()) == len(rows) - 1
+assert ngram_join._verify(80)(table).num_rows == len(rows) - 1
+""") < 400
