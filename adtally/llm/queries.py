@@ -65,11 +65,13 @@ def op6_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    """Exact windows, and beside them the items with a window whose two rarest words stand near each other."""
+    done = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=decontamination.WINDOW)
     return done.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-        decontamination.contaminated().alias("contaminated"))
+        decontamination.contaminated().alias("contaminated"),
+        F.size("near_ids").cast("long").alias("n_near"), F.sha2(F.array_join("near_ids", ","), 256).alias("near_sha256"))
 
 
 def op8_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,11 +225,28 @@ WITH doc_words AS (
 ), hit_items AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id
-), sizes AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id)
+), sizes AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id
+), counts AS (SELECT word, count(*) AS n FROM doc_words GROUP BY word
+), window_terms AS (
+  SELECT DISTINCT item, s, word FROM (SELECT item, s, unnest(phrase) AS word FROM (SELECT *, row_number() OVER () AS s FROM item_windows))
+), ranked AS (
+  SELECT t.item, t.s, t.word, n, row_number() OVER (PARTITION BY t.item, t.s ORDER BY n IS NULL, n, t.word) AS place, count(*) OVER (PARTITION BY t.item, t.s) AS terms
+  FROM window_terms t LEFT JOIN counts c ON c.word = t.word
+), probes AS (  -- the two rarest words of a window, if the corpus has them
+  SELECT DISTINCT item, a, b FROM (
+    SELECT item, s, any_value(word) FILTER (WHERE place = 1) AS a, any_value(word) FILTER (WHERE place = least(2, terms)) AS b
+    FROM ranked GROUP BY item, s HAVING count(n) FILTER (WHERE place <= least(2, terms)) = least(2, any_value(terms)))
+), near AS (
+  SELECT x.doc_id, count(DISTINCT item) AS n_near, string_agg(DISTINCT item, ',' ORDER BY item) AS items
+  FROM probes p JOIN doc_words x ON x.word = p.a JOIN doc_words y ON y.word = p.b AND y.doc_id = x.doc_id AND abs(x.pos - y.pos) <= 13
+  GROUP BY x.doc_id
+)
 SELECT d.doc_id, coalesce(s.n_words, 0) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
        sha256(coalesce(i.items, '')) AS items_sha256,
-       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= coalesce(s.n_words, 0) AS contaminated
+       coalesce(h.n_hit, 0) > 0 AND 20 * coalesce(h.n_hit, 0) >= coalesce(s.n_words, 0) AS contaminated,
+       coalesce(r.n_near, 0) AS n_near, sha256(coalesce(r.items, '')) AS near_sha256
 FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)
+LEFT JOIN near r USING (doc_id)
 """,
     "op10_line_dedup": r"""
 WITH lines AS (
