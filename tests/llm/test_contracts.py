@@ -39,7 +39,7 @@ def test_op1_learns_without_the_held_out_rows_and_finds_toxic_documents(spark):
     assert all(r.predicted == (r.score >= 0.5) for r in rows)
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
     assert sum(p == y for p, y in held) >= 0.95 * len(held)
-    assert sum(p for p, y in held if y) >= 0.6 * sum(y for _, y in held)
+    assert sum(p for p, y in held if y) >= 0.9 * sum(y for _, y in held)
 
 
 def test_op2_removes_what_smaller_documents_hold(spark):
