@@ -33,7 +33,6 @@ import json
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -58,18 +57,25 @@ ENCODED = "chunk long, doc_ids array<long>, n_a array<int>, n_b array<int>, a bi
 ALIGNED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string"
 
 
+class Tables:
+    """What the merge needs of two vocabularies: token lengths in bytes, and ids as text."""
+
+    def __init__(self, a_length: np.ndarray, b_length: np.ndarray, shown: np.ndarray, width: np.ndarray):
+        self.a_length, self.b_length, self.shown, self.width = a_length, b_length, shown, width
+        self.n_a, self.n_b = len(a_length), len(b_length)
+
+
 class Pair:
-    """Both vocabularies: token bytes by id, and ids of texts."""
+    """Both vocabularies, from their files' contents: token bytes by id, and ids of texts."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_file: bytes, b_file: bytes):
         import sentencepiece
         import tiktoken
 
-        with open(a_path, encoding="utf-8") as file:
-            spec = json.load(file)
+        spec = json.loads(a_file)
         byte_of = {letter: bytes([b]) for b, letter in enumerate(byte_letters())}
-        a_ids = {b"".join(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items()
-                 if token not in {t["content"] for t in spec["added_tokens"]}}
+        special = {t["content"] for t in spec["added_tokens"]}
+        a_ids = {b"".join(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
         a_bytes = {i: token for token, i in a_ids.items()}
         merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in spec["model"]["merges"]]
         rule = spec["pre_tokenizer"] or {}
@@ -77,31 +83,33 @@ class Pair:
         if words and spec["normalizer"] is None and [spec["model"]["vocab"][m] for m in merged] == list(range(256, 256 + len(merged))):
             self._a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=a_ids, special_tokens={}).encode_ordinary
         else:
-            self._a = self._a_library(a_path)
-        self._b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        self.n_b = self._b.get_piece_size()
-        pieces = [self._b.id_to_piece(i) for i in range(self.n_b)]
+            self._a = self._a_library(a_file)
+        self._b = sentencepiece.SentencePieceProcessor(model_proto=b_file)
+        pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         self.a_bytes = [a_bytes.get(i, b"") for i in range(max(a_bytes) + 1)]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self._b.is_byte(i) else p.replace(SPACE_PIECE, " ").encode() for i, p in enumerate(pieces)]
-        self.n_a = len(self.a_bytes)
-        self.a_length, self.b_length = (np.array([len(x) for x in table], np.int64) for table in (self.a_bytes, self.b_bytes))
-        # an id with what follows it: in its group, at its side's end, at the text's end (B)
-        shown = [f"{i}{end}" for i in range(self.n_a) for end in (",", "|", "")] + [f"{i}{end}" for i in range(self.n_b) for end in (",", ";", "")]
-        self.shown = np.array(shown, "S6").view(np.uint8).reshape(-1, 6)
-        self.width = np.array([len(x) for x in shown], np.int64)
+        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
+            raise ValueError("ids over two bytes")
         plain = [p for i, p in enumerate(pieces) if not self._b.is_byte(i)]
         self.cuts = not any(SPACE_PIECE in p.lstrip(SPACE_PIECE) or " " in p for p in plain)
 
     @staticmethod
-    def _a_library(a_path: str):
+    def _a_library(a_file: bytes):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(a_path)
+        tokenizer = Tokenizer.from_str(a_file.decode())
         tokenizer.no_truncation()
         tokenizer.no_padding()
         tokenizer.encode_special_tokens = True  # their strings in a text are plain text
         return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
+    def tables(self) -> dict[str, np.ndarray]:
+        """Arguments of ``Tables``."""
+        # an id with what follows it: in its group, at its side's end, at the text's end (B)
+        shown = [f"{i}{end}" for i in range(len(self.a_bytes)) for end in (",", "|", "")] + [f"{i}{end}" for i in range(len(self.b_bytes)) for end in (",", ";", "")]
+        return {"a_length": np.array([len(x) for x in self.a_bytes], np.int64), "b_length": np.array([len(x) for x in self.b_bytes], np.int64),
+                "shown": np.array(shown, "S6").view(np.uint8).reshape(-1, 6), "width": np.array([len(x) for x in shown], np.int64)}
+
     def encode(self, text: str | None) -> tuple[bytes, bytes]:
         """Ids of A and of B, two bytes each; empty where a text has no tokens."""
         if not text:
@@ -114,10 +122,10 @@ class Pair:
         return array("H", a).tobytes(), array("H", b).tobytes()
 
 
-@lru_cache(maxsize=1)
-def loaded(a_path: str, b_path: str) -> Pair:
-    """The vocabularies, once in a worker."""
-    return Pair(a_path, b_path)
+def read_vocabularies(a_path: str, b_path: str) -> tuple[bytes, bytes]:
+    """Contents of both files: some megabytes, which travel with the job."""
+    with open(a_path, "rb") as a, open(b_path, "rb") as b:
+        return a.read(), b.read()
 
 
 def crossings(a_ends: np.ndarray, b_ends: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -151,16 +159,10 @@ def piece_overlaps(a_ends: np.ndarray, b_ends: np.ndarray, i0: int, i1: int, j0:
 class Chunk:
     """Tokens of several texts, one after another."""
 
-    def __init__(self, pair: Pair, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
-        self.pair, self.a, self.b = pair, a, b
+    def __init__(self, tables: Tables, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray):
+        self.tables, self.a, self.b = tables, a, b
         self.a_from, self.b_from = (np.concatenate([[0], np.cumsum(n, dtype=np.int64)]) for n in (n_a, n_b))
-        self.a_ends, self.b_ends = np.cumsum(pair.a_length[a]), np.cumsum(pair.b_length[b])
-
-    @classmethod
-    def of_row(cls, pair: Pair, row: dict) -> Chunk:
-        """From a row of ``ENCODED``."""
-        a, b = (np.frombuffer(zstandard.decompress(row[c].as_py()), "<u2") for c in ("a", "b"))
-        return cls(pair, a, b, row["n_a"].values.to_numpy(), row["n_b"].values.to_numpy())
+        self.a_ends, self.b_ends = np.cumsum(tables.a_length[a]), np.cumsum(tables.b_length[b])
 
     def pieces(self) -> Iterator[tuple]:
         """Of each piece: its A and B tokens' numbers by overlap, twice (see ``piece_overlaps``), and group ends."""
@@ -169,7 +171,7 @@ class Chunk:
             yield piece_overlaps(self.a_ends, self.b_ends, *bounds)
 
     def keys(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return self.a[a].astype(np.int64) * self.pair.n_b + self.b[b]
+        return self.a[a].astype(np.int64) * self.tables.n_b + self.b[b]
 
     def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct keys and how many links hold each."""
@@ -200,7 +202,7 @@ class Chunk:
         """Each text's groups as ``a1,a2|b1;a3|b2,b3``, decimal ids in order."""
         a_stop, b_stop = np.flatnonzero(a_last) + 1, np.flatnonzero(b_last) + 1  # behind each group
         b_last[self.b_from[1:][np.diff(self.b_from) > 0] - 1] = 2  # nothing follows a text's last token
-        a_width, b_width = self.pair.width[self.a.astype(np.int64) * 3 + a_last], self.pair.width[3 * self.pair.n_a + self.b.astype(np.int64) * 3 + b_last]
+        a_width, b_width = self.tables.width[self.a.astype(np.int64) * 3 + a_last], self.tables.width[3 * self.tables.n_a + self.b.astype(np.int64) * 3 + b_last]
         offsets = sum(np.concatenate([[0], np.cumsum(w)])[start] for w, start in ((a_width, self.a_from), (b_width, self.b_from)))
         out, i, j = [], 0, 0
         for g in range(0, len(a_stop), PIECE_ENDS):  # some groups at a time
@@ -209,8 +211,8 @@ class Chunk:
             a_sizes, b_sizes = (np.diff(np.concatenate([[x], stop[g:h]])) for x, stop in ((i, a_stop), (j, b_stop)))
             codes = np.empty(a.stop - a.start + b.stop - b.start, np.int64)
             codes[np.arange(a.stop - a.start) + np.repeat(np.cumsum(b_sizes) - b_sizes, a_sizes)] = self.a[a].astype(np.int64) * 3 + a_last[a]
-            codes[np.arange(b.stop - b.start) + np.repeat(np.cumsum(a_sizes), b_sizes)] = 3 * (self.pair.n_a + self.b[b].astype(np.int64)) + b_last[b]
-            letters = self.pair.shown[codes].ravel()
+            codes[np.arange(b.stop - b.start) + np.repeat(np.cumsum(a_sizes), b_sizes)] = 3 * (self.tables.n_a + self.b[b].astype(np.int64)) + b_last[b]
+            letters = self.tables.shown[codes].ravel()
             out.append(letters[letters != 0].tobytes())
             i, j = a.stop, b.stop
         return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets.astype("<i4").tobytes()), pa.py_buffer(b"".join(out)))
@@ -252,19 +254,22 @@ def _unpacked(packed: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(8, -1).T).view("<i8").ravel()
 
 
-def encode(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
+def encode(docs: DataFrame, files: tuple[bytes, bytes]) -> DataFrame:
     """Rows of ``ENCODED`` from (doc_id, text), each of some texts: their ids and the id pairs that their links hold.
 
     A chunk's number is that of its task and its place there, so a table of them must be stored before two uses.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(files)  # the vocabularies
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, chunk = loaded(a_path, b_path), TaskContext.get().partitionId() << 32
+        pair, chunk = Pair(*shared.value), TaskContext.get().partitionId() << 32
+        tables = Tables(**pair.tables())
         ids, found, size = [], [], 0
 
         def row() -> pa.RecordBatch:
             raw = [b"".join([x[k] for x in found]) for k in (0, 1)]
             sizes = [np.array([len(x[k]) // 2 for x in found], np.int32) for k in (0, 1)]
-            pairs, counts = Chunk(pair, *[np.frombuffer(r, "<u2") for r in raw], *sizes).pair_counts()
+            pairs, counts = Chunk(tables, *[np.frombuffer(r, "<u2") for r in raw], *sizes).pair_counts()
             columns = [pa.array([chunk], pa.int64()), pa.array([ids], pa.list_(pa.int64())), *[pa.array([n], pa.list_(pa.int32())) for n in sizes],
                        *[pa.array([zstandard.ZstdCompressor(3).compress(r)], pa.binary()) for r in raw],
                        pa.array([_packed(np.diff(pairs, prepend=0))], pa.binary()), pa.array([_packed(counts)], pa.binary())]
@@ -308,8 +313,9 @@ def _pairs(encoded: DataFrame) -> DataFrame:
 
 def pair_counts(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(a, b, n): ids of A and B and how many links of the corpus hold them."""
-    n_b = loaded(a_path, b_path).n_b
-    return _pairs(encode(id_text(docs, id_col, text_col), a_path, b_path)).select(
+    files = read_vocabularies(a_path, b_path)
+    n_b = len(Pair(*files).b_bytes)
+    return _pairs(encode(id_text(docs, id_col, text_col), files)).select(
         F.floor(F.col("pair") / n_b).cast("int").alias("a"), (F.col("pair") % n_b).cast("int").alias("b"), "n")
 
 
@@ -317,13 +323,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     """A row of ``ALIGNED`` for each document row: tokens, groups and links, with the links' corpus counts."""
     spark = docs.sparkSession
     shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    encoded = Stored(encode(id_text(docs, id_col, text_col), a_path, b_path), "encoded").df
+    files = read_vocabularies(a_path, b_path)
+    encoded = Stored(encode(id_text(docs, id_col, text_col), files), "encoded").df
     counted = Stored(_pairs(encoded), "pairs").df
-    n_b = loaded(a_path, b_path).n_b
+    tables = Pair(*files).tables()
+    n_b = len(tables["b_length"])
     best = np.zeros(n_b, np.int64)
     for row in counted.groupBy((F.col("pair") % n_b).alias("b")).agg(F.max("n").alias("n")).collect():  # B's vocabulary at most
         best[row["b"]] = row["n"]
-    shared = spark.sparkContext.broadcast(best)
+    shared = spark.sparkContext.broadcast((tables, best))  # as long as the vocabularies
     parts = max(shuffle, -(-counted.count() // RANGE_PAIRS))
     copies = max(1, -(-encoded.count() // (RANGE_CHUNKS * parts)))
 
@@ -345,14 +353,15 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
         return pa.table({"chunk": asked.column("chunk"), "part": asked.column("part"), "found": pa.array([_packed(x) for x in found], pa.binary())})
 
     def finish(table: pa.Table, answers: pa.Table) -> pa.Table:
+        tables_, best_ = shared.value
         row = {c: table.column(c)[0] for c in table.column_names}
         a, b = (np.frombuffer(zstandard.decompress(row[c].as_py()), "<u2") for c in ("a", "b"))
-        chunk = Chunk(loaded(a_path, b_path), a, b, row["n_a"].values.to_numpy(), row["n_b"].values.to_numpy())
+        chunk = Chunk(Tables(**tables_), a, b, row["n_a"].values.to_numpy(), row["n_b"].values.to_numpy())
         pairs = np.cumsum(_unpacked(row["pairs"].as_py()))
         counts, part = np.zeros(len(pairs), np.int64), pairs % parts
         for p, packed in zip(answers.column("part").to_pylist(), answers.column("found")):
             counts[part == p] = _unpacked(packed.as_py())
-        return chunk.aligned(counts_lookup(pairs, counts) if len(pairs) else np.zeros_like, shared.value, row["doc_ids"].values)
+        return chunk.aligned(counts_lookup(pairs, counts) if len(pairs) else np.zeros_like, best_, row["doc_ids"].values)
 
     asked = encoded.select("chunk", "pairs").mapInArrow(ask, "part int, copy int, chunk long, pairs binary")
     known = counted.select((F.col("pair") % parts).cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("copy"), "pair", "n")

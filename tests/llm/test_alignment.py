@@ -102,15 +102,15 @@ def test_small_pieces_chunks_and_ranges_change_nothing(spark, libraries, monkeyp
     for name, value in {"PIECE_ENDS": 7, "CHUNK_BYTES": 500, "COUNTED_PAIRS": 50, "RANGE_PAIRS": 100, "RANGE_CHUNKS": 1}.items():
         monkeypatch.setattr(alignment, name, value)
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
-    pair = alignment.loaded(A, B)
+    pair = alignment.Pair(*alignment.read_vocabularies(A, B))
     ids = [pair.encode(t) for _, t in rows]
-    chunk = alignment.Chunk(pair, *[np.frombuffer(b"".join(x[k] for x in ids), "<u2") for k in (0, 1)],
+    chunk = alignment.Chunk(alignment.Tables(**pair.tables()), *[np.frombuffer(b"".join(x[k] for x in ids), "<u2") for k in (0, 1)],
                             *[np.array([len(x[k]) // 2 for x in ids]) for k in (0, 1)])
     assert len(list(chunk.pieces())) > 1000
     import pyarrow as pa
     pairs, counts = chunk.pair_counts()
-    best = np.zeros(pair.n_b, np.int64)
-    np.maximum.at(best, pairs % pair.n_b, counts)
+    best = np.zeros(len(pair.b_bytes), np.int64)
+    np.maximum.at(best, pairs % len(pair.b_bytes), counts)
     done = chunk.aligned(alignment.counts_lookup(pairs, counts), best, pa.array(range(len(rows))))
     expected = plain_alignment(rows, libraries)
     assert [tuple(r.values()) for r in done.to_pylist()] == expected
@@ -136,6 +136,7 @@ def test_pair_counts(spark, libraries):
 
 
 def test_the_library_is_asked_where_ids_are_no_ranks(libraries):
-    pair = alignment.loaded(A, B)
-    slow = pair._a_library(A)
+    files = alignment.read_vocabularies(A, B)
+    pair = alignment.Pair(*files)
+    slow = pair._a_library(files[0])
     assert all(slow(" " + t) == pair._a(" " + t) for t in ODD if t)
