@@ -19,10 +19,12 @@ Defined results: a null event time has no hour and is late at once; rows without
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -30,6 +32,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from adtally.session import temporary_path
 from adtally.streaming import jobs
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need no copy of the library
+
 HOUR = dt.timedelta(hours=1)
 GRACE = dt.timedelta(days=2)  # how long after its end an hour stays open, in load time
 DELAY = "1 hour"  # how far the clock stays behind the newest load
