@@ -35,9 +35,8 @@ def _hash(tracked: Sequence[str]) -> Column:
 def intervals(versions: DataFrame, keys: Sequence[str], tracked: Sequence[str]) -> DataFrame:
     """Versions (keys, tracked, valid_from) as intervals; unchanged versions fold into the one before."""
     order = Window.partitionBy(*keys).orderBy("valid_from")
-    one = (versions.select(*keys, *tracked, "valid_from").withColumn("_hash", _hash(tracked))
-           .withColumn("_nth", F.row_number().over(Window.partitionBy(*keys, "valid_from").orderBy(*[F.col(c).desc_nulls_last() for c in tracked])))
-           .where("_nth = 1"))
+    one = (versions.groupBy(*keys, "valid_from").agg(F.max(F.struct(*tracked)).alias("_greatest"))
+           .select(*keys, "valid_from", *[F.col(f"_greatest.`{c}`").alias(c) for c in tracked]).withColumn("_hash", _hash(tracked)))
     changed = one.withColumn("_before", F.lag("_hash").over(order)).where("_before IS NULL OR _before <> _hash")
     ends = F.lead("valid_from").over(order)
     return changed.select(*keys, *tracked, "valid_from", ends.alias("valid_to"), F.when(ends.isNull(), F.lit(1)).otherwise(F.lit(0)).alias("is_current"))

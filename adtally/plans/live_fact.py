@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from adtally.functions.expr import pct, round_half_up
 from adtally.plans.marts import FACT_KEYS, MONEY
 from adtally.plans.staging import SUSPICIOUS_PUBLISHER_IDS, dedup_events
-from adtally.session import delete_path
+from adtally.session import child_names, delete_path
 from adtally.sources import io
 from adtally.sources.event_store import EventStore, as_ntz
 from adtally.sources.ledger import Ledger
@@ -37,6 +37,11 @@ from adtally.sources.ledger import Ledger
 Measures = Mapping[str, Column]
 
 
+def _day(date: dt.date | None) -> str:
+    """A date as its folder is named; events without time have a folder of their own."""
+    return "__HIVE_DEFAULT_PARTITION__" if date is None else date.isoformat()
+
+
 def base_measures() -> dict[str, Column]:
     """What one event adds to each stored measure of the daily fact; all are whole numbers or exact decimals."""
     kind, filled = F.col("event_type"), F.col("is_filled")
@@ -126,7 +131,7 @@ class LiveFact:
         earlier = self.store.read_files(self.store.files_holding(ids, until=since.date())).where(F.col("_loaded_at") <= as_ntz(since))
         before, now = self._versions(fresh, ids, earlier)
         versions = fresh.select("event_timestamp").unionByName(earlier.join(ids, "event_id", "left_semi").select("event_timestamp"))
-        touched = [r[0].isoformat() for r in versions.select(F.to_date("event_timestamp")).distinct().collect()]  # calendar days
+        touched = [_day(r[0]) for r in versions.select(F.to_date("event_timestamp")).distinct().collect()]  # calendar days
         merged = summed(self.stored(touched).unionByName(self._changes(before, now)), list(self.measures))
         return as_fact(merged.where("total_events > 0"))
 
@@ -144,18 +149,19 @@ class LiveFact:
         earlier = self.store.read_files(self.store.files_holding(ids, applied))
         changed = io.materialize("fact_changes", self._changes(*self._versions(fresh, ids, earlier)))
         changed = changed.where(" OR ".join(f"`{n}` <> 0" for n in names))
-        dates = {r.event_date.isoformat() for r in changed.select("event_date").distinct().collect()}  # calendar days
+        dates = {_day(r.event_date) for r in changed.select("event_date").distinct().collect()}  # calendar days
         if added and backfill:
             dates |= set(held)
         before = self.stored(sorted(dates))
         if added and backfill and held:
             own = summed(shares(dedup_events(self.store.events(applied)), {n: self.measures[n] for n in added}), added)
             before = before.drop(*added).unionByName(own, allowMissingColumns=True)
-        result = io.materialize("fact_rows", summed(before.unionByName(changed), names).where("total_events > 0"))
+        result = summed(before.unionByName(changed), names).where("total_events > 0")
         generation = version + 1
-        delete_path(self.spark, f"{self.root}/gen={generation}")  # left by a run that died
-        io.write_table(result, f"{self.root}/gen={generation}", *io.MART_LAYOUT["fct_ad_events_daily"])
-        present = sorted(r.event_date.isoformat() for r in result.select("event_date").distinct().collect())
+        folder = f"{self.root}/gen={generation}"
+        delete_path(self.spark, folder)  # left by a run that died
+        io.write_table(result, folder, *io.MART_LAYOUT["fct_ad_events_daily"])
+        present = [name.split("=")[1] for name in child_names(self.spark, folder) if name.startswith("event_date=")]
 
         def apply(current: dict) -> dict:
             if current != document:

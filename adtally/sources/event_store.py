@@ -129,6 +129,8 @@ class EventStore:
 
     def files_holding(self, ids: DataFrame, batches: Iterable[str] | None = None, until: dt.date | None = None) -> list[str]:
         """Files that hold an id of ``ids`` (event_id; null is an id, too), of some batches or load dates up to ``until``."""
+        if not self._paths("index", batches):
+            return []
         span = ids.agg(F.count("*").alias("rows"), F.count("event_id").alias("n"), F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
         if not span["rows"]:
             return []

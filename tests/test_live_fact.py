@@ -54,7 +54,7 @@ def test_retries_that_move_empty_or_repeat_events_and_null_ids(spark):
     root = scratch_path(spark, "moves")
     store, day = EventStore(spark, f"{root}/store"), lambda d, h=10: dt.datetime(2024, 1, d, h)
     fact = live_fact.LiveFact(store, f"{root}/fact")
-    loads = [[("a", day(1), day(2)), ("b", day(3), day(4)), (None, day(3), day(4)), ("old", day(6), day(9))],
+    loads = [[("a", day(1), day(2)), ("b", day(3), day(4)), (None, day(3), day(4)), ("old", day(6), day(9)), ("untimed", None, day(2))],
              [("a", day(5), day(6)), ("new", day(3), day(7)), ("old", day(7), day(8)), (None, day(4), day(5))],  # old: an earlier version comes late
              [("hot", day(1 + i % 5), day(10) + dt.timedelta(minutes=i)) for i in range(300)],
              [("hot", day(2), day(12))] * 3]
