@@ -13,7 +13,8 @@ spelt in bytes, the last with a word-end mark, and merged.
 4. Words that the automaton does not accept are merged exactly, by the lowest rank first, leftmost first; long ones
    with a heap, in n log n steps.
 
-A worker also keeps the ids of words it met, of the rare ones ``CACHE_WORDS`` at most. Decoding joins the tokens of the ids.
+A worker also keeps the ids of words it met and what they decode to, of the rare ones the last ``CACHE_WORDS`` to twice as
+many. Decoding joins the tokens of the ids.
 
 Defined results: null text: empty; an empty text has no ids and decodes to an empty text; rows with equal
 id stay rows of their own.
@@ -28,10 +29,10 @@ import re
 import struct
 import tempfile
 import unicodedata
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -274,25 +275,38 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_
 
 
 class _Known(dict):
-    """Ids of words; a word that is not there yet is looked up in the automaton, or else merged."""
+    """(ids as bytes, decoded) of words; one that is not there yet is looked up in the automaton, or else merged.
 
-    def __init__(self, vocabulary: Vocabulary, automaton: Automaton):
-        super().__init__((w, (i,)) for w, i in vocabulary.special.items())
-        self.vocabulary, self.automaton, self.rare = vocabulary, automaton, []
+    Lexicon words stay. Of the others, those of the last ``limit`` to twice as many are remembered.
+    """
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        raw = word.encode("utf-8", "surrogatepass")
-        ids = self.automaton.get(raw)
-        if ids is None:
-            ids = merged(raw, self.vocabulary)
-            self.rare.append(word)
-        self[word] = ids
-        return ids
+    def __init__(self, vocabulary: Vocabulary, automaton: Automaton, limit: int):
+        super().__init__((w, self.entry((i,), vocabulary)) for w, i in vocabulary.special.items())
+        self.vocabulary, self.automaton, self.limit = vocabulary, automaton, limit
+        self.rare: list[str] = []
+        self.older: dict[str, tuple[bytes, str]] = {}
 
-    def forget_rare(self) -> None:
-        for word in self.rare:
-            del self[word]
-        self.rare.clear()
+    @staticmethod
+    def entry(ids: tuple[int, ...], vocabulary: Vocabulary) -> tuple[bytes, str]:
+        return array("i", ids).tobytes(), " ".join([vocabulary.tokens[i] for i in ids])
+
+    def __missing__(self, word: str) -> tuple[bytes, str]:
+        found = self.older.get(word)
+        if found is None:
+            raw = word.encode("utf-8", "surrogatepass")
+            ids = self.automaton.get(raw)
+            if ids is not None:
+                found = self[word] = self.entry(ids, self.vocabulary)
+                return found
+            found = self.entry(merged(raw, self.vocabulary), self.vocabulary)
+        self.rare.append(word)
+        self[word] = found
+        return found
+
+    def forget(self) -> None:
+        if len(self.rare) > self.limit:
+            self.older = {word: self.pop(word) for word in self.rare}
+            self.rare.clear()
 
 
 class Encoder:
@@ -300,12 +314,16 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary, block: bytes, cache_words: int = CACHE_WORDS):
         self.vocabulary, self.splitter, self.automaton = vocabulary, Splitter(vocabulary.special), Automaton(block)
-        self.known, self.cache_words = _Known(vocabulary, self.automaton), cache_words
+        self.known = _Known(vocabulary, self.automaton, cache_words)
+
+    def encode_decode(self, text: str | None) -> tuple[bytes, str]:
+        """Ids as four bytes each, and the text that they decode to."""
+        self.known.forget()
+        words = list(map(self.known.__getitem__, self.splitter.pieces(text)))
+        return b"".join([ids for ids, _ in words]), " ".join([shown for _, shown in words])
 
     def encode(self, text: str | None) -> list[int]:
-        if len(self.known.rare) > self.cache_words:
-            self.known.forget_rare()
-        return list(chain.from_iterable(map(self.known.__getitem__, self.splitter.pieces(text))))
+        return np.frombuffer(self.encode_decode(text)[0], np.int32).tolist()
 
     def decode(self, ids: list[int]) -> str:
         return " ".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -326,12 +344,12 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LE
         for batch in batches:
             for start in range(0, len(batch), 256):  # a few texts at a time bound the memory
                 part = batch.slice(start, 256)
-                ids = [encoder.encode(text) for text in part.column("text").to_pylist()]
-                offsets = np.cumsum([0] + [len(x) for x in ids])
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+                done = [encoder.encode_decode(text) for text in part.column("text").to_pylist()]
+                offsets = np.cumsum([0] + [len(ids) // 4 for ids, _ in done])
+                flat = np.frombuffer(b"".join([ids for ids, _ in done]), np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                     pa.array([encoder.decode(x) for x in ids], pa.string())], ["doc_id", "ids", "decoded"])
+                     pa.array([shown for _, shown in done], pa.string())], ["doc_id", "ids", "decoded"])
         gc.unfreeze()  # the worker is used again
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
