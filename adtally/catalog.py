@@ -2,7 +2,7 @@
 
 Each entry takes a ``Models`` and returns a lazy DataFrame. Models, profiling of raw rows and maintenance work on the
 stored raw tables; charts, data tests, KPIs and detectors (``STORED``) read the stored staging and
-mart tables. Both are written on first use of a source version. The ``__spark_entry__`` contract wraps them as ``(spark, sf_dir) -> DataFrame``.
+mart tables. Each table is written on its first use at a source version. The ``__spark_entry__`` contract wraps them as ``(spark, sf_dir) -> DataFrame``.
 """
 
 from __future__ import annotations
@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from adtally.plans import charts, incremental
 from adtally.plans.live_fact import LiveFact
 from adtally.plans.models import Models
-from adtally.plans.pipeline import build_marts
+from adtally.plans.pipeline import StoredModels
 from adtally.session import delete_path, file_listing, temporary_path
 from adtally.sources.event_store import EventStore, as_ntz
-from adtally.sources.load import load_raw
+from adtally.sources.load import StoredRaw
 from adtally.sources.registry import from_testdata
 
 QueryFn = Callable[[Models], DataFrame]
@@ -63,14 +63,14 @@ def _bound(spark: SparkSession, sf_dir: str, kind: str, build: Callable[[str], M
 
 
 def models_for(spark: SparkSession, sf_dir: str) -> Models:
-    """Lazy model DAG over the stored raw tables (the first call of a source version runs the raw load)."""
-    return _bound(spark, sf_dir, "raw", lambda root: Models(load_raw(spark, from_testdata(spark, sf_dir), root)))
+    """Lazy model DAG over the stored raw tables (each is loaded when a query of a source version first reads it)."""
+    return _bound(spark, sf_dir, "raw", lambda root: Models(StoredRaw(from_testdata(spark, sf_dir), root)))
 
 
 def marts_for(spark: SparkSession, sf_dir: str) -> Models:
-    """Models bound to stored staging and mart tables (the first call of a source version builds them)."""
+    """Models bound to stored staging and mart tables (each is built when a query of a source version first reads it)."""
     raw = models_for(spark, sf_dir).raw
-    return _bound(spark, sf_dir, "marts", lambda root: build_marts(raw, root))
+    return _bound(spark, sf_dir, "marts", lambda root: StoredModels(raw, root))
 
 
 def live_for(spark: SparkSession, sf_dir: str) -> LiveFact:

@@ -6,6 +6,10 @@ date, in the shared checkpoint folder), builds the facts from it, then rolls the
 publisher-day fact and campaign dimension up from the *written* daily fact, exactly the
 reference's pre-aggregation order. Writing cuts the lineage, so a lost executor only
 re-runs the current stage, never the dedup of earlier steps.
+
+Interactive queries read the same tables through ``StoredModels``, which writes a table when a query first
+reads it. What is written already is read; what is not becomes part of the new table's plan and needs no detour through
+files, so a query over publisher-days alone writes these only.
 """
 
 from __future__ import annotations
@@ -36,6 +40,33 @@ def build_marts(raw: RawSources, root: str) -> Models:
     return Models(raw, overrides=written)
 
 
+class StoredModels(Models):
+    """Models whose tables are written under ``root``, each when it is first read."""
+
+    def __init__(self, raw: RawSources, root: str):
+        super().__init__(raw)
+        self.root, self.written = root, {}
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self.written:
+            if name in STAGES[-1] and "stg_ad_events" in self.written:
+                self.table("fct_ad_events_daily")  # a query over the events is likely to read it too: grouped once
+            built = Models(self.raw, overrides=self.written).model(name)
+            self.written[name] = io.materialize(name, built, f"{self.root}/{name}")
+        return self.written[name]
+
+    def write_all(self) -> StoredModels:
+        """Every table, in the order of the scheduled build: the events are deduplicated once."""
+        for stage in STAGES:
+            for name in stage:
+                self.table(name)
+        return self
+
+
+for _name in (name for stage in STAGES for name in stage):
+    setattr(StoredModels, _name, property(lambda self, _n=_name: self.table(_n)))
+
+
 def run_build(spark: SparkSession, sf_dir: str | None, root: str | None = None,
               raw: RawSources | None = None) -> dict[str, str]:
     """Full run: marts, the 35 data tests and the dashboard charts, all written.

@@ -63,6 +63,26 @@ def load_raw(spark: SparkSession, raw: RawSources, root: str | None = None) -> R
                          for name in RAW_TABLES})
 
 
+class StoredRaw(RawSources):
+    """The raw tables as ``load_raw`` stores them under ``root``, each written when it is first read."""
+
+    def __init__(self, raw: RawSources, root: str):
+        object.__setattr__(self, "_given", (raw, root))
+
+    def __getattr__(self, name: str) -> DataFrame:  # of a table that is not written yet
+        if name not in RAW_TABLES:
+            raise AttributeError(name)
+        raw, root = self._given
+        df = write_raw_table(getattr(raw, name), f"{root}/{name}", RAW_SORT_KEYS[name], spread=(name == "ad_events"))
+        object.__setattr__(self, name, df)
+        return df
+
+    def write_all(self) -> StoredRaw:
+        for name in RAW_TABLES:
+            getattr(self, name)
+        return self
+
+
 def append_batch(spark: SparkSession, batch: DataFrame, path: str, name: str = "ad_events", batch_id: str | None = None) -> DataFrame:
     """Append a batch of raw rows to a stored raw table, typed and sorted like its other files; read the table.
 
