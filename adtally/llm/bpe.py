@@ -13,8 +13,9 @@ spelt in bytes, the last with a word-end mark, and merged.
 4. Words that the automaton does not accept are merged exactly, by the lowest rank first, leftmost first; long ones
    with a heap, in n log n steps.
 
-A worker also keeps the ids of words it met and what they decode to, of the rare ones the last ``CACHE_WORDS`` to twice as
-many. Decoding joins the tokens of the ids.
+A worker also keeps the words it met, of the rare ones the last ``CACHE_WORDS`` to twice as many, for its later tasks as
+well: each has a number, and its ids lie in a flat table, from which those of a few texts are gathered at once. Decoding joins
+the tokens of the ids.
 
 Defined results: null text: empty; an empty text has no ids and decodes to an empty text; rows with equal
 id stay rows of their own.
@@ -29,6 +30,7 @@ import re
 import struct
 import tempfile
 import unicodedata
+import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -36,7 +38,9 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -275,38 +279,50 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, words: int = LEXICON_
 
 
 class _Known(dict):
-    """(ids as bytes, decoded) of words; one that is not there yet is looked up in the automaton, or else merged.
+    """Numbers of words; one that is not there yet is looked up in the automaton, or else merged, and gets the next.
 
-    Lexicon words stay. Of the others, those of the last ``limit`` to twice as many are remembered.
+    The ids of word n lie at place n of a flat table. Lexicon words stay. Of the others, the last ``limit`` to twice as many are
+    remembered.
     """
 
     def __init__(self, vocabulary: Vocabulary, automaton: Automaton, limit: int):
-        super().__init__((w, self.entry((i,), vocabulary)) for w, i in vocabulary.special.items())
+        super().__init__()
         self.vocabulary, self.automaton, self.limit = vocabulary, automaton, limit
         self.rare: list[str] = []
-        self.older: dict[str, tuple[bytes, str]] = {}
-
-    @staticmethod
-    def entry(ids: tuple[int, ...], vocabulary: Vocabulary) -> tuple[bytes, str]:
-        return array("i", ids).tobytes(), " ".join([vocabulary.tokens[i] for i in ids])
-
-    def __missing__(self, word: str) -> tuple[bytes, str]:
-        found = self.older.get(word)
-        if found is None:
-            raw = word.encode("utf-8", "surrogatepass")
-            ids = self.automaton.get(raw)
-            if ids is not None:
-                found = self[word] = self.entry(ids, self.vocabulary)
-                return found
-            found = self.entry(merged(raw, self.vocabulary), self.vocabulary)
-        self.rare.append(word)
-        self[word] = found
-        return found
+        self.ids, self.ends = array("i"), array("i", [0])
+        for word, i in vocabulary.special.items():
+            self._add(word, (i,))
+
+    def _add(self, word: str, ids: tuple[int, ...]) -> int:
+        number = self[word] = len(self.ends) - 1
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+        return number
+
+    def __missing__(self, word: str) -> int:
+        raw = word.encode("utf-8", "surrogatepass")
+        ids = self.automaton.get(raw)
+        if ids is None:
+            ids = merged(raw, self.vocabulary)
+            self.rare.append(word)
+        return self._add(word, ids)
+
+    def table(self) -> pa.ListArray:
+        """Ids by number, as a view: no word can be added while it is held."""
+        ids = pa.Array.from_buffers(pa.int32(), len(self.ids), [None, pa.py_buffer(self.ids)])
+        return pa.Array.from_buffers(pa.list_(pa.int32()), len(self.ends) - 1, [None, pa.py_buffer(self.ends)], children=[ids])
 
     def forget(self) -> None:
-        if len(self.rare) > self.limit:
-            self.older = {word: self.pop(word) for word in self.rare}
-            self.rare.clear()
+        if len(self.rare) <= 2 * self.limit:
+            return
+        older = len(self.rare) - self.limit
+        for word in self.rare[:older]:
+            del self[word]
+        del self.rare[:older]
+        kept = self.table().take(pa.array(list(self.values()), pa.int32()))
+        self.ids, self.ends = (array("i", a.to_numpy().tobytes()) for a in (kept.values, kept.offsets))
+        for number, word in enumerate(self):
+            self[word] = number
 
 
 class Encoder:
@@ -315,18 +331,52 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, block: bytes, cache_words: int = CACHE_WORDS):
         self.vocabulary, self.splitter, self.automaton = vocabulary, Splitter(vocabulary.special), Automaton(block)
         self.known = _Known(vocabulary, self.automaton, cache_words)
+        self.tokens = pa.array([vocabulary.tokens.get(i) for i in range(max(vocabulary.tokens) + 1)], pa.string())
 
-    def encode_decode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids as four bytes each, and the text that they decode to."""
+    def encode_decode(self, texts: list[str | None]) -> tuple[pa.ListArray, pa.StringArray]:
+        """The ids of each text, and the text that they decode to."""
         self.known.forget()
-        words = list(map(self.known.__getitem__, self.splitter.pieces(text)))
-        return b"".join([ids for ids, _ in words]), " ".join([shown for _, shown in words])
+        number, numbers, ends = self.known.__getitem__, array("i"), [0]
+        for text in texts:
+            numbers.extend(map(number, self.splitter.pieces(text)))
+            ends.append(len(numbers))
+        words = pa.Array.from_buffers(pa.int32(), len(numbers), [None, pa.py_buffer(numbers)])
+        of_words = self.known.table().take(words)
+        ids = pa.ListArray.from_arrays(of_words.offsets.take(pa.array(ends, pa.int32())), of_words.values)
+        return ids, self.decoded(ids)
+
+    def decoded(self, ids: pa.ListArray) -> pa.StringArray:
+        return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, self.tokens.take(ids.values)), " ")
 
     def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(self.encode_decode(text)[0], np.int32).tolist()
+        return self.encode_decode([text])[0][0].as_py()
 
     def decode(self, ids: list[int]) -> str:
-        return " ".join(map(self.vocabulary.tokens.__getitem__, ids))
+        return self.decoded(pa.array([ids], pa.list_(pa.int32())))[0].as_py()
+
+
+_KEPT: dict[str, Encoder] = {}
+
+
+def kept_encoder(name: str, shared: Broadcast) -> Encoder:
+    """The encoder of one run: a worker's next tasks go on with the words that it knows."""
+    if name not in _KEPT:
+        _KEPT.clear()
+        parts, block = shared.value
+        _KEPT[name] = Encoder(Vocabulary(**parts), block)
+    return _KEPT[name]
+
+
+def portions(texts: list[str], most: int = 256, chars: int = 1 << 22) -> Iterator[tuple[int, int]]:
+    """Begin and end of runs of texts: so many, and together not longer than ``chars`` if they are several."""
+    begin = held = 0
+    for i, text in enumerate(texts):
+        if i > begin and (i - begin == most or held + len(text) > chars):
+            yield begin, i
+            begin, held = i, 0
+        held += len(text)
+    if begin < len(texts):
+        yield begin, len(texts)
 
 
 def encode_decode(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LEXICON_WORDS, id_col: str = "doc_id",
@@ -336,20 +386,17 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, lexicon_words: int = LE
     # of fixed size: the vocabulary, and a lexicon of so many words
     shared = docs.sparkSession.sparkContext.broadcast((vars(vocabulary), build_lexicon(docs, vocabulary, lexicon_words, text_col)))
 
+    name = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, block = shared.value
-        encoder = Encoder(Vocabulary(**parts), block)
+        encoder = kept_encoder(name, shared)
         gc.collect()
         gc.freeze()  # the vocabulary stays as it is: later collections need not walk it
         for batch in batches:
-            for start in range(0, len(batch), 256):  # a few texts at a time bound the memory
-                part = batch.slice(start, 256)
-                done = [encoder.encode_decode(text) for text in part.column("text").to_pylist()]
-                offsets = np.cumsum([0] + [len(ids) // 4 for ids, _ in done])
-                flat = np.frombuffer(b"".join([ids for ids, _ in done]), np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat)),
-                     pa.array([shown for _, shown in done], pa.string())], ["doc_id", "ids", "decoded"])
+            texts = batch.column("text").to_pylist()
+            for begin, end in portions(texts):  # a few texts at a time bound the memory
+                ids, decoded = encoder.encode_decode(texts[begin:end])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(begin, end - begin), ids, decoded], ["doc_id", "ids", "decoded"])
         gc.unfreeze()  # the worker is used again
 
     return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<int>, decoded string")
